@@ -201,3 +201,9 @@ def labels_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
     return label
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

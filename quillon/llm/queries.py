@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import quality, simhash
+from quillon.llm import quality, simhash, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,12 @@ def op4_quality_rules(spark, sf_dir):
 @query("op10_simhash")
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    found = suffixes.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"]), F.lit(0).cast("long"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
