@@ -23,6 +23,8 @@ from quillon.llm.components import components
 
 SEED = 42
 TILE = 512
+# Keys of two of six blocks have 21 bits: few fingerprints of 10**9 share one by chance. Beyond, take 8 blocks (70 keys of 32 bits).
+BLOCKS = 6
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -81,21 +83,15 @@ def block_masks(blocks: int, distance: int) -> list[int]:
     return [sum(c) for c in combinations(masks, blocks - distance)]
 
 
-def blocks_for(n: int, distance: int) -> int:
-    """So many blocks that a key of random fingerprints holds few: its bits reach log2 of the count."""
-    blocks = distance + 1
-    while blocks < 2 * distance and 64 * (blocks - distance) / blocks < np.log2(max(2, n)) - 4:
-        blocks += 1
-    return blocks
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def close_links(fps: DataFrame, distance: int = 4, tile: int = TILE) -> DataFrame:
+def close_links(fps: DataFrame, distance: int = 4, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
     """Links (a, b) between distinct fingerprints that join the same ones as all pairs within `distance` bits do."""
-    masks = block_masks(blocks_for(fps.count(), distance), distance)
+    if blocks <= distance:
+        raise ValueError("blocks must be more than distance")
+    masks = block_masks(blocks, distance)
     keys = F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(masks)])
     rows = fps.select("fp", F.explode(keys).alias("k")).select(F.xxhash64("k.m", "k.v").alias("key"), "fp")
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -157,7 +153,9 @@ def close_links(fps: DataFrame, distance: int = 4, tile: int = TILE) -> DataFram
     return rows.mapInArrow(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """id_col, fingerprint (16 hex digits) and component_id (smallest id reachable over close fingerprints) of each row.
 
     Null, empty and blank texts have fingerprint 0 and link like others. Rows with equal ids
@@ -166,7 +164,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, id_col:
     """
     rows = stored(fingerprinted(docs, words, id_col, text_col))
     fps = stored(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(close_links(fps.select("fp"), distance), "a", "b").withColumnRenamed("node", "fp")
+    roots = components(close_links(fps.select("fp"), distance, blocks), "a", "b").withColumnRenamed("node", "fp")
     linked = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(linked.join(least, "root").select("fp", "component_id"))
