@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -99,6 +99,9 @@ def text_buffers(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[i
         lo = hi
 
 
+_LOWER_CODE = np.arange(256, dtype=np.uint8)  # letters in lower case, other ASCII as 0
+_LOWER_CODE[65:91] += 32
+_LOWER_CODE[[*range(65), *range(91, 97), *range(123, 128)]] = 0
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _C1, _C2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import quality, simhash, suffixes
+from quillon.llm import langid, quality, simhash, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,10 @@ def op6_suffix_dedup(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fitted(docs.filter(~langid.held_out()))
+    return langid.predicted(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
