@@ -56,29 +56,24 @@ def running(df: DataFrame, group: list[str], order: list[Column], size: str, out
     The order inside a group is a hash of `order`, then `order` itself. A group of any size is
     split into cells x cells parts by that hash; sums of parts are added up over two short
     windows, so no task holds more than one part's rows and no window more than `cells` sums.
-    Rows that are equal in group, order and size are interchangeable.
+    Rows that are equal in group, order and size are interchangeable. Group columns hold no nulls.
     """
-    h = F.xxhash64(*order)
-    parts = df.withColumn("__h", h).withColumn("__hi", F.pmod(F.shiftrightunsigned("__h", 40), F.lit(cells)).cast("int"))
-    parts = parts.withColumn("__lo", F.pmod(F.shiftrightunsigned("__h", 20), F.lit(cells)).cast("int"))
+    hashed = df.withColumn("__h", F.xxhash64(*order))
+    parts = hashed.withColumn("__hi", F.pmod(F.shiftrightunsigned("__h", 40), F.lit(cells)).cast("int")).withColumn(
+        "__lo", F.pmod(F.shiftrightunsigned("__h", 20), F.lit(cells)).cast("int")
+    )
     sums = parts.groupBy(*group, "__hi", "__lo").agg(F.sum(size).alias("__n"))
-    before = lambda by, o: Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
-    his = sums.groupBy(*group, "__hi").agg(F.sum("__n").alias("__n"))
-    his = his.select(*group, "__hi", F.coalesce(F.sum("__n").over(before(group, "__hi")), F.lit(0)).alias("__a"))
-    los = sums.withColumn("__b", F.coalesce(F.sum("__n").over(before([*group, "__hi"], "__lo")), F.lit(0))).drop("__n")
-    same = lambda x, y, on: [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in on]
-
-    def joined(left, right, on, take):
-        cond = None
-        for c in same("l", "r", on):
-            cond = c if cond is None else cond & c
-        return left.alias("l").join(right.alias("r"), cond).select("l.*", *[F.col(f"r.{c}").alias(c) for c in take])
-
-    offsets = joined(los, his, [*group, "__hi"], ["__a"]).select(*group, "__hi", "__lo", (F.col("__a") + F.col("__b")).alias("__off"))
+
+    def before(by: list[str], o: str) -> Column:
+        return F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    his = sums.groupBy(*group, "__hi").agg(F.sum("__n").alias("__n")).select(*group, "__hi", before(group, "__hi").alias("__a"))
+    los = sums.select(*group, "__hi", "__lo", before([*group, "__hi"], "__lo").alias("__b"))
+    offsets = los.join(his, [*group, "__hi"]).select(*group, "__hi", "__lo", (F.col("__a") + F.col("__b")).alias("__off"))
     w = Window.partitionBy(*group, "__hi", "__lo").orderBy("__h", *order).rowsBetween(Window.unboundedPreceding, -1)
     inside = parts.withColumn("__in", F.coalesce(F.sum(size).over(w), F.lit(0)))
-    out_df = joined(inside, offsets, [*group, "__hi", "__lo"], ["__off"])
-    return out_df.withColumn(out, F.col("__off") + F.col("__in")).drop("__h", "__hi", "__lo", "__off", "__in")
+    found = inside.join(offsets, [*group, "__hi", "__lo"]).withColumn(out, F.col("__off") + F.col("__in"))
+    return found.select(*df.columns, out)
 
 
 def text_buffers(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, quality, simhash, suffixes
+from quillon.llm import langid, mixing, packing, quality, simhash, suffixes
+from quillon.llm.common import n_words, written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +49,22 @@ def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fitted(docs.filter(~langid.held_out()))
     return langid.predicted(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op1_mixing")
+def op1_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    # the words are counted once; texts stay behind
+    light = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text")), "sizes")
+    plan = mixing.planned(light, size=F.col("n")).drop("n", "text")
+    first = plan.withColumn("first_position", F.try_element_at("positions", F.lit(1)))
+    out = first.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "first_position")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartitionByRange(n, F.col("first_position"), F.col("doc_id")).sortWithinPartitions("first_position")
+
+
+@query("op7_packing")
+def op7_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    light = written(docs.select("doc_id", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text")), "lengths")
+    return packing.packed(light, tokens=F.col("n"))
