@@ -32,6 +32,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The same, created."""
+    path = shared_path(spark, name)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept in the shared folder, so a lost executor costs a reread only."""
     shared_root(df.sparkSession)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, mixing, packing, quality, simhash, suffixes
-from quillon.llm.common import n_words, written
+from quillon.llm import langid, mixing, packing, quality, simhash, suffixes, warc
+from quillon.llm.common import n_words, shared_folder, written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,23 @@ def op7_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     light = written(docs.select("doc_id", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text")), "lengths")
     return packing.packed(light, tokens=F.col("n"))
+
+
+@query(
+    "op5_warc",
+    """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+    k AS (SELECT d, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY d)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+           CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < keeper THEN keeper END AS refers_to
+    FROM p LEFT JOIN k ON p.d = k.d AND n >= 1000
+    """,
+)
+def op5_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.archived(warc.typed(pages), shared_folder(spark, "warc"))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_back(manifest).select(
+        F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )
