@@ -183,51 +183,53 @@ def _covered(rows: DataFrame, marks: DataFrame, length: int) -> DataFrame:
 
 
 def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
-    """(uid, n_bytes, a, b): byte ranges that different contexts of a key have in common."""
+    """(uid, n_bytes, a, b): byte ranges that different contexts of a key have in common.
+
+    Rounds pass on hashes and context numbers only; the bytes stay in one stored table.
+    """
     side = length // 2 - 1
-    nodes = contexts.select("*", F.lit(0).cast("long").alias("d0"), F.lit(side).cast("long").alias("d1"))
-    found = None
-    ids = ["uid", "n_bytes", "pos", "key"]
+    contexts = written(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
+    nodes = contexts.select("cid", F.array(F.lit(side).cast("int")).alias("ranges"))
+    code = side + 1  # a range d0..d1 of deltas is told as d0 * code + d1
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda *x: int.from_bytes(hashlib.blake2b(b"".join(x), digest_size=8).digest(), "little", signed=True)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*ids, "left", "right", "d0", "d1", "need", "full")}
-            cols = [batch.column(c).to_pylist() for c in (*ids, "left", "right", "d0", "d1")]
-            for uid, n, pos, key, left, right, d0, d1 in zip(*cols, strict=True):
-                step = -(-(d1 - d0 + 1) // SPLIT)
-                for a in range(d0, d1 + 1, step):
-                    b = min(a + step - 1, d1)
-                    if a > len(left) or side - b > len(right):
-                        continue
-                    part = f"{key} {a} {b}:".encode()
-                    need = digest(part, left[len(left) - a :], right[: side - b])
-                    most_l, most_r = min(b, len(left)), min(side - a, len(right))
-                    full = digest(part, f"{most_l} {most_r}:".encode(), left[len(left) - most_l :], right[:most_r])
-                    for c, v in zip(out, (uid, n, pos, key, left, right, a, b, need, full), strict=True):
-                        out[c].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary() if c in ("left", "right") else pa.int64()) for c, v in out.items()], list(out))
-
-    schema = "uid long, n_bytes long, pos long, key long, left binary, right binary, d0 long, d1 long, need long, full long"
-    width = side + 1
+            out: dict[str, list] = {"cid": [], "range": [], "need": [], "full": []}
+            for cid, key, left, right, ranges in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                n = len(left)
+                for r in ranges:
+                    d0, d1 = divmod(r, code)
+                    step = -(-(d1 - d0 + 1) // SPLIT)
+                    for a in range(d0, d1 + 1, step):
+                        b = min(a + step - 1, d1)
+                        if a > n or side - b > len(right):
+                            continue
+                        most_l, most_r = min(b, n), min(side - a, len(right))
+                        out["cid"].append(cid)
+                        out["range"].append(a * code + b)
+                        out["need"].append(digest(b"%d %d %d:" % (key, a, b), left[n - a :], right[: side - b]))
+                        out["full"].append(digest(b"%d %d %d %d %d:" % (key, a, b, most_l, most_r), left[n - most_l :], right[:most_r]))
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if c == "range" else pa.int64()) for c, v in out.items()], list(out))
+
+    width, covers = side + 1, None
     while True:
         width = -(-width // SPLIT)
-        parts = written(nodes.mapInArrow(split, schema), "parts")
-        # one that stands for all contexts equal over the range; how many of those there are where all strings of the range agree
-        classes = parts.groupBy("need", "full").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("uid", "n_bytes", "pos")).alias("first"))
-        needs = classes.groupBy("need").agg(F.count(F.lit(1)).alias("classes"))
-        told = parts.join(classes, ["need", "full"]).join(needs, "need")
-        told = written(told.filter("same > 1 or classes > 1"), "told")
-        clip = told.filter("same > 1").select(
-            "uid", "n_bytes",
-            (F.col("pos") - F.least("d1", F.length("left"))).alias("a"),
-            (F.col("pos") - F.greatest("d0", side - F.length("right")) + length).alias("b"),
-        ).filter(f"b - a >= {length}")
-        found = clip if found is None else found.unionByName(clip)
+        rows = contexts.join(nodes, "cid").select("cid", "key", "left", "right", "ranges")
+        parts = written(rows.mapInArrow(split, "cid long, range int, need long, full long"), "parts")
+        # contexts equal over the range: they cover it, and the first of them stands for all
+        classes = written(parts.groupBy("full").agg(F.count(F.lit(1)).alias("same"), F.min("cid").alias("cid"), F.min("need").alias("need"), F.min("range").alias("range")), "classes")
+        cover = parts.join(classes.filter("same > 1").select("full"), "full", "left_semi").select("cid", "range")
+        covers = cover if covers is None else covers.unionByName(cover)
         if width == 1:
-            return found
-        mine = F.struct("uid", "n_bytes", "pos") == F.col("first")
-        nodes = told.filter((F.col("classes") > 1) & mine).select(*ids, "left", "right", "d0", "d1")
+            break
+        # what others take part of goes on: two or more classes that agree on what all the range's strings take
+        needs = classes.groupBy("need").agg(F.min("full").alias("f0"), F.max("full").alias("f1")).filter("f0 != f1").select("need")
+        nodes = written(classes.join(needs, "need", "left_semi").groupBy("cid").agg(F.collect_list("range").alias("ranges")), "nodes")
+    d0, d1 = F.expr(f"range div {code}"), F.col("range") % code
+    found = contexts.select("uid", "n_bytes", "pos", F.length("left").alias("l"), F.length("right").alias("r"), "cid").join(covers, "cid")
+    a, b = F.col("pos") - F.least(d1, F.col("l")), F.col("pos") - F.greatest(d0, side - F.col("r")) + length
+    return found.select("uid", "n_bytes", a.alias("a"), b.alias("b")).filter(f"b - a >= {length}")
 
 
 def deduplicated(docs: DataFrame, length: int = 400, batches: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
