@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, mixing, packing, quality, simhash, suffixes, warc
+from quillon.llm import langid, mixing, packing, quality, simhash, suffixes, topk, urls, warc
 from quillon.llm.common import n_words, shared_folder, written
 
 QUERIES: dict = {}
@@ -88,3 +88,31 @@ def op5_warc(spark, sf_dir):
     return warc.read_back(manifest).select(
         F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
     )
+
+
+RULES = [
+    urls.rule(v, name)
+    for v, name in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+]
+
+
+@query("op9_url_filters")
+def op9_url_filters(spark, sf_dir):
+    return urls.judged(table(spark, sf_dir, "pages"), RULES)
+
+
+@query(
+    "op3_topk_search",
+    """
+    WITH d AS (
+        SELECT q.vec_id AS query_id, b.vec_id AS neighbour_id,
+               CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (q.embedding[i] > 0) <> (b.embedding[i] > 0) THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+        FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id AND q.vec_id % 20 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, distance FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM d)
+    WHERE rank <= 10
+    """,
+)
+def op3_topk_search(spark, sf_dir):
+    codes = written(table(spark, sf_dir, "embeddings").select("vec_id", topk.code_of(F.col("embedding")).alias("code")), "codes")
+    return topk.nearest(codes, codes.filter("vec_id % 20 = 0"))
