@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.common import _LOWER_CODE, text_buffers
@@ -24,7 +24,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """rows: hash rows. per_lang: most training texts of a language; max_langs: most languages (the commonest).
+    """rows: hash rows. per_lang: training texts of a language, about, at most; max_langs: most languages (the commonest).
 
     reject_rate: share of correctly told calibration texts that the rejection threshold may cost;
     max_threshold: its upper bound.
@@ -88,20 +88,16 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> tuple
 
 
 def sampled(docs: DataFrame, settings: Settings, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """At most per_lang rows of each language, in the order of a hash; the hash of the last one stands for chance."""
+    """About per_lang rows of each language (all where there are fewer): those whose hash lies in the share that this is of them."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h")
     )
-    w = Window.partitionBy("lang").orderBy("h")
-    ids = known.select("lang", "h").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= settings.per_lang)
-    bounds = ids.groupBy("lang").agg(F.max("h").alias("last")).collect()  # one row per language
-    bounds = sorted(bounds, key=lambda r: r["lang"])
-    if not bounds:
-        return known.limit(0)
-    most = F.lit(None).cast("long")
-    for r in bounds:
-        most = F.when(F.col("lang") == r["lang"], F.lit(r["last"])).otherwise(most)
-    return known.filter(F.col("h") <= most)
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(settings.max_langs).collect()
+    parts = 1 << 30
+    most = F.lit(0)
+    for r in sizes:
+        most = F.when(F.col("lang") == r["lang"], F.lit(min(parts, parts * settings.per_lang // r["n"]))).otherwise(most)
+    return known.filter(F.pmod("h", F.lit(parts)) < most)
 
 
 def counted(texts: DataFrame, settings: Settings) -> DataFrame:
