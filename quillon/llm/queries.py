@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, mixing, packing, quality, simhash, suffixes, topk, urls, warc
+from quillon.llm import langid, licenses, mixing, packing, quality, simhash, suffixes, topk, urls, warc
 from quillon.llm.common import n_words, shared_folder, written
 
 QUERIES: dict = {}
@@ -116,3 +116,8 @@ def op9_url_filters(spark, sf_dir):
 def op3_topk_search(spark, sf_dir):
     codes = written(table(spark, sf_dir, "embeddings").select("vec_id", topk.code_of(F.col("embedding")).alias("code")), "codes")
     return topk.nearest(codes, codes.filter("vec_id % 20 = 0"))
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents"))

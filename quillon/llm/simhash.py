@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.common import _SPACE, labels_of, stored, text_buffers, word_spans
@@ -64,16 +64,16 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
 
 
 def fingerprinted(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and fp (the fingerprint's bits as a signed long) of each row; no words: 0."""
+    """id, uid (equal only for rows of equal id and text) and fp (the fingerprint's bits as a signed long) of each row; no words: 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_buffers(batch.column(1)):
+            for lo, hi, data, offsets in text_buffers(batch.column(2)):
                 fp = fingerprints_of(data, offsets, words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(fp)], [id_col, "fp"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(fp)], ["id", "uid", "fp"])
 
-    source = docs.select(id_col, text_col)
-    return source.mapInArrow(run, f"{id_col} {source.schema[id_col].dataType.simpleString()}, fp long")
+    source = docs.select(F.col(id_col).alias("id"), uid_of(id_col, text_col).alias("uid"), F.col(text_col).alias("text"))
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid long, fp long")
 
 
 def block_masks(blocks: int, distance: int) -> list[int]:
@@ -153,6 +153,21 @@ def close_links(fps: DataFrame, distance: int = 4, blocks: int = BLOCKS, tile: i
     return rows.mapInArrow(link, "a long, b long")
 
 
+def uid_of(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+
+
+def grouped(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, uid, fp, root (the component's least fingerprint) and component_id of each row."""
+    rows = stored(fingerprinted(docs, words, id_col, text_col))
+    fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = components(close_links(fps.select("fp"), distance, blocks), "a", "b").withColumnRenamed("node", "fp")
+    linked = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(linked.join(least, "root").select("fp", "root", "component_id"))
+    return rows.join(named, "fp")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -162,11 +177,12 @@ def near_duplicates(
     each keep a row; a null id is never a component's id unless all its ids are null. Extra
     columns of docs are not read.
     """
-    rows = stored(fingerprinted(docs, words, id_col, text_col))
-    fps = stored(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(close_links(fps.select("fp"), distance, blocks), "a", "b").withColumnRenamed("node", "fp")
-    linked = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(linked.join(least, "root").select("fp", "component_id"))
-    out = rows.join(named, "fp")
-    return out.select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    out = grouped(docs, words, distance, blocks, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of the smallest id of each component, with docs' columns; a null id stands last, and of equal rows one stays."""
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "uid")).alias("first")
+    keepers = grouped(docs, words, distance, blocks, id_col, text_col).groupBy("root").agg(first).select(F.col("first.uid").alias("__uid"))
+    return docs.withColumn("__uid", uid_of(id_col, text_col)).join(keepers, "__uid", "left_semi").dropDuplicates(["__uid"]).drop("__uid")

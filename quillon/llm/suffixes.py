@@ -63,9 +63,10 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray
     return np.unique((least & np.uint64(0xFFFFFFFF)).astype(np.int64))
 
 
-def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with `uid`, equal only for rows of equal id and text."""
-    return docs.select(F.xxhash64(F.col(id_col).cast("string"), text_col).alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def _identified(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """Rows with `uid`, equal only for rows of equal id and text, and the kept columns as a struct `rest`."""
+    rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("string")
+    return docs.select(F.xxhash64(F.col(id_col).cast("string"), text_col).alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
 
 
 def anchor_table(rows: DataFrame, length: int) -> DataFrame:
@@ -166,8 +167,8 @@ def _covered(rows: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     """Each document with its ranges covered so far, and its contexts that are still to be compared."""
     side, core = length // 2 - 1, length - (length // 2 - 1)
     rows = rows.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    joined = rows.join(marks, ["uid", "n_bytes"], "left").select("uid", "n_bytes", "id", "text", "whole", "open")
-    schema = T.StructType([*joined.schema.fields[:4], T.StructField("spans", T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))), T.StructField("contexts", T.ArrayType(T.StructType([T.StructField("pos", T.LongType()), T.StructField("key", T.LongType()), T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType())])))])
+    joined = rows.join(marks, ["uid", "n_bytes"], "left").select("uid", "n_bytes", "id", "text", "rest", "whole", "open")
+    schema = T.StructType([*joined.schema.fields[:5], T.StructField("spans", T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))), T.StructField("contexts", T.ArrayType(T.StructType([T.StructField("pos", T.LongType()), T.StructField("key", T.LongType()), T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +178,7 @@ def _covered(rows: DataFrame, marks: DataFrame, length: int) -> DataFrame:
                 data = (text.as_py() or "").encode() if pieces or keys else b""
                 spans.append([{"a": a, "b": b} for a, b in _spans([(max(p - side, 0), min(p + length, len(data))) for p in pieces])])
                 contexts.append([{"pos": x["pos"], "key": x["key"], "left": data[max(x["pos"] - side, 0) : x["pos"]], "right": data[x["pos"] + core : x["pos"] + length]} for x in keys])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(spans, pa.list_(_RANGE)), pa.array(contexts, pa.list_(_CONTEXT))], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(spans, pa.list_(_RANGE)), pa.array(contexts, pa.list_(_CONTEXT))], schema.names)
 
     return joined.mapInArrow(run, schema)
 
@@ -232,8 +233,12 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
     return found.select("uid", "n_bytes", a.alias("a"), b.alias("b")).filter(f"b - a >= {length}")
 
 
-def deduplicated(docs: DataFrame, length: int = 400, batches: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text, kept (bytes), spans (removed runs as a, b) and n_bytes of every row of docs.
+def deduplicated(
+    docs: DataFrame, length: int = 400, batches: int = 4, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """id, n_bytes, text, kept (bytes), repaired, spans (removed runs as a, b) and the `keep` columns of every row of docs.
+
+    repaired is kept as text, without the parts of characters that a run cut in half.
 
     Null texts count as empty; texts shorter than `length` bytes stay whole; equal rows each keep
     their row, and lose all their bytes if long enough. Extra columns of docs are not read.
@@ -241,7 +246,7 @@ def deduplicated(docs: DataFrame, length: int = 400, batches: int = 4, id_col: s
     if length < 32:
         raise ValueError("length must be 32 at least")
     spark = docs.sparkSession
-    rows = _identified(docs, id_col, text_col)
+    rows = _identified(docs, id_col, text_col, keep)
     anchors = anchor_table(rows, length)
     anchors = written(anchors.withColumn("batch", F.pmod("uid", F.lit(batches))), "anchors")
     family, matched = IndexFamily(spark), None
@@ -261,15 +266,16 @@ def deduplicated(docs: DataFrame, length: int = 400, batches: int = 4, id_col: s
     covered = written(_covered(rows, marks, length), "covered")
     agreeing = _agreeing(covered.select("uid", "n_bytes", F.explode("contexts").alias("c")).select("uid", "n_bytes", "c.*").dropDuplicates(["uid", "n_bytes", "pos", "key"]), length)
     more = agreeing.groupBy("uid", "n_bytes").agg(F.collect_set(F.struct("a", "b")).alias("more"))
-    cols = ["uid", "n_bytes", "id", "text", "spans"]
+    cols = ["uid", "n_bytes", "id", "text", "rest", "spans"]
     settled = covered.filter(F.size("contexts") == 0).select(*cols, F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("more"))
     rest = covered.filter(F.size("contexts") > 0).select(*cols).join(more, ["uid", "n_bytes"], "left").select(*cols, "more")
-    return _finished(settled.unionByName(rest))
+    out = _finished(settled.unionByName(rest))
+    return out.select(*[c for c in out.columns if c != "rest"], *[F.col(f"rest.`{c}`").alias(c) for c in keep])
 
 
 def _finished(rows: DataFrame) -> DataFrame:
-    id_type = rows.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("n_bytes", T.LongType()), T.StructField("kept", T.BinaryType()), rows.schema["spans"]])
+    rows = rows.select("id", "n_bytes", "text", "rest", "spans", "more")
+    schema = T.StructType([*rows.schema.fields[:5], T.StructField("kept", T.BinaryType()), T.StructField("repaired", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,6 +284,7 @@ def _finished(rows: DataFrame) -> DataFrame:
                 cut = _spans([(x["a"], x["b"]) for x in [*(a.as_py() or []), *(b.as_py() or [])]])
                 spans.append([{"a": x, "b": y} for x, y in cut])
                 kept.append(_kept((text.as_py() or "").encode(), cut))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(kept, pa.binary()), pa.array(spans, pa.list_(_RANGE))], schema.names)
+            repaired = pa.array([x.decode(errors="ignore") for x in kept], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(spans, pa.list_(_RANGE)), pa.array(kept, pa.binary()), repaired], schema.names)
 
-    return rows.select("id", "n_bytes", "text", "spans", "more").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
