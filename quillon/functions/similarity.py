@@ -1,11 +1,12 @@
 """String similarity."""
 
-from __future__ import annotations
-
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 
+ColumnOrName = Column | str
+
 
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, by one integer per row of the table (bit-parallel)."""
@@ -28,7 +29,10 @@ def indel_ratio(a: str, b: str) -> float:
     return 2 * lcs_length(a, b) / n if n else 1.0
 
 
-@pandas_udf("double")
-def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def name_ratio(a: ColumnOrName, b: ColumnOrName) -> Column:
     """indel_ratio of two columns, in Arrow batches; null if either is."""
-    return pd.Series([np.nan if x is None or y is None else indel_ratio(x, y) for x, y in zip(a, b, strict=True)]).astype("float64")
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([np.nan if p is None or q is None else indel_ratio(p, q) for p, q in zip(x, y, strict=True)]).astype("float64")
+
+    return pandas_udf(run, "double")(a, b)

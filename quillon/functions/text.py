@@ -1,7 +1,5 @@
 """Text functions as column expressions: accents, slugs, trimming, keyword counts."""
 
-from __future__ import annotations
-
 import unicodedata
 
 import pandas as pd
@@ -19,10 +17,13 @@ def strip_accents(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, _MARKED, _BARE), r"\p{M}+", "")
 
 
-@pandas_udf("string")
-def strip_accents_nfkd(text: pd.Series) -> pd.Series:
+def strip_accents_nfkd(text: Column) -> Column:
     """NFKD without combining marks for any script, in Arrow batches; where Latin letters are not enough."""
-    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+
+    return pandas_udf(run, "string")(text)
 
 
 def fold(text: Column) -> Column:
