@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,10 +47,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """As stored(), but as Parquet, which keeps columns apart and is smaller."""
+def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
+    """As stored(), but as Parquet, which keeps columns apart and is smaller; the path goes to `scratch` for a later dropped()."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -209,6 +212,12 @@ def labels_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs: it does so once the driver has collected their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,9 +8,10 @@ those are depends on the windows' bytes alone, so every repeated string holds an
 its next CORE bytes, at the same place in all its copies.
 
 1. Each batch of documents gets a suffix array: its anchors' keys (the suffix's first bytes,
-   then a hash of its CORE bytes) with their counts, range-sorted. It is merge-scanned against the
-   existing levels for keys that both have; levels that cover equally many batches are then
-   merged, so there are log2(batches) levels. A key has one row in a level however often it occurs.
+   then a hash of its CORE bytes) with their counts, sharded by hash and sorted in each shard. It is
+   merge-scanned against the existing levels for keys that both have. Before the next batch comes,
+   levels that cover equally many batches are merged, so there are log2(batches) levels. A key has
+   one row in a level however often it occurs.
 2. The anchors of matched keys are classed by their whole context, the bytes that any
    `length`-byte string around the anchor can take. Equal contexts cover all of it.
 3. Different contexts of a key may still share a part. A string around an anchor is given by its
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import SpanHash, dropped, mixed, shared_path, text_buffers, written
+from quillon.llm.common import SpanHash, dropped, mixed, released, shared_path, text_buffers, written
 
 GRAM = 8
 SPLIT = 4
@@ -105,33 +106,32 @@ class IndexFamily:
 
     def _write(self, runs: DataFrame) -> str:
         path = shared_path(self.spark, "level")
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        runs.repartitionByRange(n, "key").sortWithinPartitions("key").write.parquet(path)
+        runs.sortWithinPartitions("key").write.parquet(path)
         return path
 
     def _read(self, path: str) -> DataFrame:
         return self.spark.read.schema("key long, n long").parquet(path)
 
+    def _merge(self) -> None:
+        """Merge the newest levels while they are of one size."""
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (size, a), (_, b) = self.levels.pop(), self.levels.pop()
+            runs = self._read(a).unionByName(self._read(b)).groupBy("key").agg(F.sum("n").alias("n"))
+            self.levels.append((2 * size, self._write(runs)))
+            dropped(self.spark, a)
+            dropped(self.spark, b)
+
     def add(self, anchors: DataFrame) -> DataFrame:
         """Keys of this batch that occur twice or more in it, or in a level too."""
-        path, size = self._write(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n"))), 1
+        self._merge()
+        path = self._write(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
         batch = self._read(path)
         found = batch.filter("n > 1").select("key")
         for _, level in self.levels:
             found = found.unionByName(batch.join(self._read(level), "key", "left_semi").select("key"))
-        found = written(found.distinct(), "matched")
-        merged = [path]
-        while self.levels and self.levels[-1][0] == size:
-            merged.append(self.levels.pop()[1])
-            size *= 2
-        if len(merged) > 1:
-            runs = self._read(merged[0])
-            for p in merged[1:]:
-                runs = runs.unionByName(self._read(p))
-            path = self._write(runs.groupBy("key").agg(F.sum("n").alias("n")))
-            for p in merged:
-                dropped(self.spark, p)
-        self.levels.append((size, path))
+        found = written(found, "matched")
+        self.levels.append((1, path))
+        released(self.spark)
         return found
 
     def close(self) -> None:
@@ -189,7 +189,9 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
     Rounds pass on hashes and context numbers only; the bytes stay in one stored table.
     """
     side = length // 2 - 1
+    spark = contexts.sparkSession
     contexts = written(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
+    released(spark)
     nodes = contexts.select("cid", F.array(F.lit(side).cast("int")).alias("ranges"))
     code = side + 1  # a range d0..d1 of deltas is told as d0 * code + d1
 
@@ -215,18 +217,21 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
 
     width, covers = side + 1, None
     while True:
-        width = -(-width // SPLIT)
+        width, scratch = -(-width // SPLIT), []
         rows = contexts.join(nodes, "cid").select("cid", "key", "left", "right", "ranges")
-        parts = written(rows.mapInArrow(split, "cid long, range int, need long, full long"), "parts")
+        parts = written(rows.mapInArrow(split, "cid long, range int, need long, full long"), "parts", scratch)
         # contexts equal over the range: they cover it, and the first of them stands for all
-        classes = written(parts.groupBy("full").agg(F.count(F.lit(1)).alias("same"), F.min("cid").alias("cid"), F.min("need").alias("need"), F.min("range").alias("range")), "classes")
-        cover = parts.join(classes.filter("same > 1").select("full"), "full", "left_semi").select("cid", "range")
+        classes = written(parts.groupBy("full").agg(F.count(F.lit(1)).alias("same"), F.min("cid").alias("cid"), F.min("need").alias("need"), F.min("range").alias("range")), "classes", scratch)
+        cover = written(parts.join(classes.filter("same > 1").select("full"), "full", "left_semi").select("cid", "range"), "covers")
         covers = cover if covers is None else covers.unionByName(cover)
         if width == 1:
-            break
+            break  # the ranges are single deltas: agreeing contexts are equal
         # what others take part of goes on: two or more classes that agree on what all the range's strings take
         needs = classes.groupBy("need").agg(F.min("full").alias("f0"), F.max("full").alias("f1")).filter("f0 != f1").select("need")
         nodes = written(classes.join(needs, "need", "left_semi").groupBy("cid").agg(F.collect_list("range").alias("ranges")), "nodes")
+        for path in scratch:
+            dropped(spark, path)
+        released(spark)
     d0, d1 = F.expr(f"range div {code}"), F.col("range") % code
     found = contexts.select("uid", "n_bytes", "pos", F.length("left").alias("l"), F.length("right").alias("r"), "cid").join(covers, "cid")
     a, b = F.col("pos") - F.least(d1, F.col("l")), F.col("pos") - F.greatest(d0, side - F.col("r")) + length
@@ -248,13 +253,17 @@ def deduplicated(
     spark = docs.sparkSession
     rows = _identified(docs, id_col, text_col, keep)
     anchors = anchor_table(rows, length)
-    anchors = written(anchors.withColumn("batch", F.pmod("uid", F.lit(batches))), "anchors")
+    scratch: list[str] = []
+    anchors = written(anchors.withColumn("batch", F.pmod("uid", F.lit(batches))), "anchors", scratch)
     family, matched = IndexFamily(spark), None
     for i in range(batches):
         found = family.add(anchors.filter(F.col("batch") == i))
         matched = found if matched is None else matched.unionByName(found)
     family.close()
     occurrences = written(anchors.drop("batch").join(matched.distinct(), "key"), "occurrences")
+    for path in scratch:
+        dropped(spark, path)
+    released(spark)
     classes = occurrences.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("uid", "n_bytes", "pos")).alias("first"))
     keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
     told = occurrences.join(classes, ["key", "ctx"]).join(keys, "key")
@@ -264,6 +273,7 @@ def deduplicated(
         F.collect_set(F.when((F.col("classes") > 1) & mine, F.struct("pos", "key"))).alias("open"),
     )
     covered = written(_covered(rows, marks, length), "covered")
+    released(spark)
     agreeing = _agreeing(covered.select("uid", "n_bytes", F.explode("contexts").alias("c")).select("uid", "n_bytes", "c.*").dropDuplicates(["uid", "n_bytes", "pos", "key"]), length)
     more = agreeing.groupBy("uid", "n_bytes").agg(F.collect_set(F.struct("a", "b")).alias("more"))
     cols = ["uid", "n_bytes", "id", "text", "rest", "spans"]
