@@ -63,7 +63,7 @@ def join(base: Column, href: Column) -> Column:
     merged = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
     q = F.when(part(base, "query") != "", F.concat(F.lit("?"), part(base, "query"))).otherwise("")
     return (
-        F.when(F.coalesce(href, F.lit("")) == "", F.substring_index(base, "#", 1))
+        F.when(F.coalesce(href, F.lit("")) == "", base)
         .when(part(href, "scheme") != "", href)
         .when(href.startswith("//"), F.concat(part(base, "scheme"), F.lit(":"), href))
         .when(href.startswith("#"), F.concat(root, part(base, "path"), q, href))

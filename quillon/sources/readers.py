@@ -41,7 +41,7 @@ def cache_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def cache_object(spark: SparkSession, path: str) -> DataFrame:
     """(url, candidate_urls, best_candidate, ...) of a cache that is a JSON object; values are entries or, in old files, plain lists."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     each = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("url", "v"))
     return cache_values(each, "url", "v")
 
@@ -59,7 +59,7 @@ def cache_entries(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 def html_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, html): a row per file."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
 def binary_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
