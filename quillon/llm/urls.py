@@ -95,9 +95,11 @@ def trained(labelled: DataFrame) -> DataFrame:
 
 def scored(urls: DataFrame, model: DataFrame) -> DataFrame:
     """(u, score) of distinct URLs u: the log ratio by the number of characters."""
+    # a URL's first characters stand after START, whose contexts are no grams of it
+    first = model.filter(F.col("g").isin([START * k for k in range(1, ORDER + 1)])).agg(F.sum("value").alias("s")).first()["s"] or 0.0
     found = grams(urls.select("u")).join(model, "g", "left").groupBy("u").agg(F.sum(F.coalesce("value", F.lit(0.0))).alias("s"))
     # sums of doubles depend on their order: rounding makes reruns agree
-    return found.select("u", F.round(F.col("s") / (F.length("u") + 1), 6).alias("score"))
+    return found.select("u", F.round((F.col("s") + first) / (F.length("u") + 1), 6).alias("score"))
 
 
 def threshold(scores: DataFrame) -> float:

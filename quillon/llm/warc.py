@@ -94,7 +94,7 @@ def directory(f: BinaryIO) -> dict[str, Member]:
     f.seek(0, 2)
     total = f.tell()
     tail = _range(f, max(0, total - 65_557), min(total, 65_557))
-    at = tail.rfind(b"PK\x05\x06")
+    at = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(b"PK\x05\x06", 0, at)
     if at < 0:
