@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -105,6 +105,13 @@ def text_buffers(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[i
         lo = hi
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most `rows` rows, so that what a step makes of one stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 _LOWER_CODE = np.arange(256, dtype=np.uint8)  # letters in lower case, other ASCII as 0
 _LOWER_CODE[65:91] += 32
 _LOWER_CODE[[*range(65), *range(91, 97), *range(123, 128)]] = 0

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillon.llm.common import SpanHash, dropped, mixed, released, shared_path, text_buffers, written
+from quillon.llm.common import SpanHash, dropped, mixed, released, row_slices, shared_path, text_buffers, written
 
 GRAM = 8
 SPLIT = 4
@@ -171,7 +171,7 @@ def _covered(rows: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     schema = T.StructType([*joined.schema.fields[:5], T.StructField("spans", T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))), T.StructField("contexts", T.ArrayType(T.StructType([T.StructField("pos", T.LongType()), T.StructField("key", T.LongType()), T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             spans, contexts = [], []
             for text, whole, opened in zip(batch.column("text"), batch.column("whole"), batch.column("open"), strict=True):
                 pieces, keys = whole.as_py() or [], opened.as_py() or []
@@ -197,7 +197,7 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda *x: int.from_bytes(hashlib.blake2b(b"".join(x), digest_size=8).digest(), "little", signed=True)
-        for batch in batches:
+        for batch in row_slices(batches):
             out: dict[str, list] = {"cid": [], "range": [], "need": [], "full": []}
             for cid, key, left, right, ranges in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 n = len(left)
@@ -288,7 +288,7 @@ def _finished(rows: DataFrame) -> DataFrame:
     schema = T.StructType([*rows.schema.fields[:5], T.StructField("kept", T.BinaryType()), T.StructField("repaired", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             spans, kept = [], []
             for text, a, b in zip(batch.column("text"), batch.column("spans"), batch.column("more"), strict=True):
                 cut = _spans([(x["a"], x["b"]) for x in [*(a.as_py() or []), *(b.as_py() or [])]])
