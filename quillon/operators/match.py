@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,16 +25,14 @@ def resolve(names: DataFrame, name: str, candidates: DataFrame, candidate: str,
     """
     asked = names.select(F.col(name).alias("n")).filter("n is not null").distinct()
     known = candidates.select(F.col(candidate).alias("c"), F.col(position).alias("p")).filter("c is not null").groupBy("c").agg(F.min("p").alias("p"))
-    exact = asked.join(known, asked["n"] == known["c"]).select("n", F.col("c").alias("m"))
-    rest = asked.join(exact.select("n"), "n", "left_anti")
-    folded = known.groupBy(fold(F.col("c")).alias("f")).agg(F.min_by("c", "p").alias("m"))
-    second = rest.withColumn("f", fold(F.col("n"))).join(folded, "f").select("n", "m")
-    rest = rest.join(second.select("n"), "n", "left_anti")
+    folded = known.groupBy(fold(F.col("c")).alias("f")).agg(F.min_by("c", "p").alias("m2"))
+    told = asked.join(known.select(F.col("c").alias("n"), F.col("c").alias("m1")), "n", "left").withColumn("f", fold(F.col("n"))).join(folded, "f", "left")
+    told = told.select("n", F.coalesce("m1", "m2").alias("m"))
     low = threshold / (2 - threshold)
-    close = near_pairs(rest, known, threshold, low).withColumn("r", name_ratio("n", "c")).filter(F.col("r") >= threshold)
-    third = close.groupBy("n").agg(F.min_by("c", F.struct(-F.col("r"), "p")).alias("m"))
-    found = exact.unionByName(second).unionByName(third)
-    return names.join(found.select(F.col("n").alias(name), F.col("m").alias("matched")), name, "left")
+    close = near_pairs(told.filter("m is null").select("n"), known, threshold, low).withColumn("r", name_ratio("n", "c")).filter(F.col("r") >= threshold)
+    third = close.groupBy("n").agg(F.min_by("c", F.struct(-F.col("r"), "p")).alias("m3"))
+    found = told.join(third, "n", "left").select(F.col("n").alias(name), F.coalesce("m", "m3").alias("matched"))
+    return names.join(found, name, "left")
 
 
 def near_pairs(asked: DataFrame, known: DataFrame, threshold: float, low: float) -> DataFrame:
@@ -52,6 +52,11 @@ def near_pairs(asked: DataFrame, known: DataFrame, threshold: float, low: float)
     return by_gram.unionByName(by_length)
 
 
+def folded(name: str) -> str:
+    """fold() of one name."""
+    return "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c)).casefold()
+
+
 def with_alias(names: DataFrame, name: str, aliases: dict[str, str] | None = None) -> DataFrame:
     """Names that another source spells differently, in that source's spelling."""
     out = F.col(name)
@@ -87,8 +92,9 @@ def greedy_pairs(left: DataFrame, right: DataFrame, block: str, name: str, posit
         out = []
         for row in a.sort_values(position).itertuples(index=False):
             mine = getattr(row, name)
-            best = mine if mine in free else max(free, key=lambda c: indel_ratio(mine, c), default=None)
-            if best is not None and indel_ratio(mine, best) >= threshold:
+            alike = [c for c in free if folded(c) == folded(mine)]
+            best = mine if mine in free else alike[0] if alike else max(free, key=lambda c: indel_ratio(mine, c), default=None)
+            if best is not None and (best in alike or indel_ratio(mine, best) >= threshold):
                 del free[best]
                 out.append((getattr(row, block), mine, best))
         return pd.DataFrame(out, columns=[block, "left_name", "right_name"])

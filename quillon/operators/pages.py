@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillon.functions import terms
 from quillon.functions import url as U
 from quillon.functions.text import contains_any, spaced, squash, strip
+from quillon.session import stored
 
 ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
@@ -130,20 +131,20 @@ def fields(links: DataFrame, by: str, href: str, pos: str, mapping: dict[str, st
     return named.groupBy(by, "field").agg(F.min_by(href, pos).alias("url"))
 
 
-def reach(edges: DataFrame, roots: DataFrame, depth: int, checkpoint_every: int = 4) -> DataFrame:
+def reach(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     """(node, depth) of what the roots reach over (src, dst) links in at most `depth` steps, at the least depth.
 
     A level is a join of the frontier with the links and an anti-join with what was visited; both
-    shuffle by node. Every few levels the visited set is written to the checkpoint folder, so that
-    plans stay short and a lost executor costs one reread.
+    shuffle by node. Each frontier is kept in the checkpoint folder: the visited set is a union of
+    those, so plans don't grow with the depth and a lost executor costs one reread. An empty
+    frontier ends the walk.
     """
-    seen = roots.select(F.col("node"), F.lit(0).alias("depth")).distinct()
-    frontier = seen
+    seen = frontier = stored(roots.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     for d in range(1, depth + 1):
         step = frontier.select(F.col("node").alias("src")).join(edges, "src").select(F.col("dst").alias("node")).distinct()
-        frontier = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
-        if d % checkpoint_every == 0:
-            frontier = frontier.checkpoint()
+        frontier = stored(step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(d)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen
 

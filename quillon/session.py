@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,3 +22,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of df, computed once and kept in the checkpoint folder (spark.checkpoint.dir; a local one where it is unset, as in tests)."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='quillon-')}")
+    return df.checkpoint(eager=True)
