@@ -27,7 +27,9 @@ def table(spark, sf_dir, name):
 
 @query("op4_quality_rules")
 def op4_quality_rules(spark, sf_dir):
-    return quality.judged(table(spark, sf_dir, "documents"))
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*first, *[c for c in found.columns if c not in first])
 
 
 @query("op10_simhash")
@@ -58,7 +60,7 @@ def op1_mixing(spark, sf_dir):
     light = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text")), "sizes")
     plan = mixing.planned(light, size=F.col("n")).drop("n", "text")
     first = plan.withColumn("first_position", F.try_element_at("positions", F.lit(1)))
-    out = first.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "first_position")
+    out = first.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "first_position")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return out.repartitionByRange(n, F.col("first_position"), F.col("doc_id")).sortWithinPartitions("first_position")
 
