@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quillon.functions import http as H
 from quillon.functions import text as T
 from quillon.functions import url as U
 from quillon.operators import dedup, documents, lookup, match, merge, pages, rollup, stateful, validate
+from quillon.plans import flows
 from quillon.session import table
 from quillon.sources import readers
+from quillon.streaming import ingest
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -706,3 +709,46 @@ def election_rules(spark, sf_dir):
     )
     bad = validate.bad_sub_types(e).select("id", F.lit(True).alias("bad"))
     return validate.rounds(e).join(bad, "id", "left").withColumn("bad_sub_type", F.coalesce("bad", F.lit(False))).drop("bad")
+
+
+_LOG = """SELECT event_id, [200, 404, 403, 503, 429][event_id % 5 + 1] AS status, CAST(event_id % 6 + 1 AS INTEGER) AS attempt, props FROM events"""
+
+
+@query(
+    "fetch_outcomes",
+    f"""
+    SELECT event_id, CASE status WHEN 200 THEN props WHEN 404 THEN '' END AS page,
+           CASE WHEN status = 200 THEN 'ok' WHEN status = 403 THEN CASE WHEN attempt <= 3 THEN 'retry' ELSE 'blocked' END ELSE 'failed' END AS outcome,
+           CAST(5 * 2 ** (attempt - 1) AS DOUBLE) AS backoff, status = 429 OR status >= 500 AS retryable FROM ({_LOG})
+    """,
+)
+def fetch_outcomes(spark, sf_dir):
+    k = F.col("event_id")
+    status = F.element_at(F.array(*map(F.lit, (200, 404, 403, 503, 429))), (k % 5 + 1).cast("int"))
+    log = table(spark, sf_dir, "events").select("event_id", status.alias("status"), (k % 6 + 1).cast("int").alias("attempt"), "props")
+    s, a = F.col("status"), F.col("attempt")
+    return log.select("event_id", H.page_of(s, F.col("props")).alias("page"), H.outcome(s, a).alias("outcome"), H.backoff_seconds(a).alias("backoff"), H.is_retryable(s).alias("retryable"))
+
+
+@query(
+    "windowed_counts",
+    "SELECT date_trunc('hour', ts) AS start, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2",
+)
+def windowed_counts(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    out = ingest.windowed_counts(e, "ts", ["event_type"], "1 hour")
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query(
+    "flow_city_districts",
+    """
+    WITH c AS (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS ine_code FROM customer WHERE c_custkey % 9 <> 0),
+    r(name, prefix) AS (VALUES ('North', '0'), ('Upper', '00'), ('Cape', '123'))
+    SELECT ine_code, arg_max(r.name, length(prefix)) AS district_name FROM c LEFT JOIN r ON starts_with(ine_code, prefix) GROUP BY 1
+    """,
+)
+def flow_city_districts(spark, sf_dir):
+    code = F.when(F.col("c_custkey") % 9 != 0, F.lpad(F.col("c_custkey").cast("string"), 4, "0"))
+    refs = spark.createDataFrame([("North", "0"), ("Upper", "00"), ("Cape", "123")], "name string, ine_prefix string")
+    return flows.with_districts(table(spark, sf_dir, "customer").select(code.alias("ine_code")).distinct(), refs)
