@@ -103,6 +103,7 @@ class IndexFamily:
     def __init__(self, spark):
         self.spark = spark
         self.levels: list[tuple[int, str]] = []
+        self.scratch: list[str] = []
 
     def _write(self, runs: DataFrame) -> str:
         path = shared_path(self.spark, "level")
@@ -129,7 +130,7 @@ class IndexFamily:
         found = batch.filter("n > 1").select("key")
         for _, level in self.levels:
             found = found.unionByName(batch.join(self._read(level), "key", "left_semi").select("key"))
-        found = written(found, "matched")
+        found = written(found, "matched", self.scratch)
         self.levels.append((1, path))
         released(self.spark)
         return found
@@ -137,7 +138,9 @@ class IndexFamily:
     def close(self) -> None:
         for _, path in self.levels:
             dropped(self.spark, path)
-        self.levels = []
+        for path in self.scratch:
+            dropped(self.spark, path)
+        self.levels, self.scratch = [], []
 
 
 def _spans(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -190,7 +193,8 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
     """
     side = length // 2 - 1
     spark = contexts.sparkSession
-    contexts = written(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
+    kept: list[str] = []
+    contexts = written(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts", kept)
     released(spark)
     nodes = contexts.select("cid", F.array(F.lit(side).cast("int")).alias("ranges"))
     code = side + 1  # a range d0..d1 of deltas is told as d0 * code + d1
@@ -222,9 +226,10 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
         parts = written(rows.mapInArrow(split, "cid long, range int, need long, full long"), "parts", scratch)
         # contexts equal over the range: they cover it, and the first of them stands for all
         classes = written(parts.groupBy("full").agg(F.count(F.lit(1)).alias("same"), F.min("cid").alias("cid"), F.min("need").alias("need"), F.min("range").alias("range")), "classes", scratch)
-        cover = written(parts.join(classes.filter("same > 1").select("full"), "full", "left_semi").select("cid", "range"), "covers")
+        cover = written(parts.join(classes.filter("same > 1").select("full"), "full", "left_semi").select("cid", "range"), "covers", kept)
         covers = cover if covers is None else covers.unionByName(cover)
         if width == 1:
+            kept += scratch
             break  # the ranges are single deltas: agreeing contexts are equal
         # what others take part of goes on: two or more classes that agree on what all the range's strings take
         needs = classes.groupBy("need").agg(F.min("full").alias("f0"), F.max("full").alias("f1")).filter("f0 != f1").select("need")
@@ -235,7 +240,11 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
     d0, d1 = F.expr(f"range div {code}"), F.col("range") % code
     found = contexts.select("uid", "n_bytes", "pos", F.length("left").alias("l"), F.length("right").alias("r"), "cid").join(covers, "cid")
     a, b = F.col("pos") - F.least(d1, F.col("l")), F.col("pos") - F.greatest(d0, side - F.col("r")) + length
-    return found.select("uid", "n_bytes", a.alias("a"), b.alias("b")).filter(f"b - a >= {length}")
+    found = written(found.select("uid", "n_bytes", a.alias("a"), b.alias("b")).filter(f"b - a >= {length}").distinct(), "agreeing")
+    for path in kept:
+        dropped(spark, path)
+    released(spark)
+    return found
 
 
 def deduplicated(
@@ -259,8 +268,9 @@ def deduplicated(
     for i in range(batches):
         found = family.add(anchors.filter(F.col("batch") == i))
         matched = found if matched is None else matched.unionByName(found)
+    seen: list[str] = []
+    occurrences = written(anchors.drop("batch").join(matched.distinct(), "key"), "occurrences", seen)
     family.close()
-    occurrences = written(anchors.drop("batch").join(matched.distinct(), "key"), "occurrences")
     for path in scratch:
         dropped(spark, path)
     released(spark)
@@ -273,6 +283,8 @@ def deduplicated(
         F.collect_set(F.when((F.col("classes") > 1) & mine, F.struct("pos", "key"))).alias("open"),
     )
     covered = written(_covered(rows, marks, length), "covered")
+    for path in seen:
+        dropped(spark, path)
     released(spark)
     agreeing = _agreeing(covered.select("uid", "n_bytes", F.explode("contexts").alias("c")).select("uid", "n_bytes", "c.*").dropDuplicates(["uid", "n_bytes", "pos", "key"]), length)
     more = agreeing.groupBy("uid", "n_bytes").agg(F.collect_set(F.struct("a", "b")).alias("more"))
