@@ -233,6 +233,7 @@ def _agreeing(contexts: DataFrame, length: int) -> DataFrame:
             break  # the ranges are single deltas: agreeing contexts are equal
         # what others take part of goes on: two or more classes that agree on what all the range's strings take
         needs = classes.groupBy("need").agg(F.min("full").alias("f0"), F.max("full").alias("f1")).filter("f0 != f1").select("need")
+        needs = written(needs, "needs", scratch)
         nodes = written(classes.join(needs, "need", "left_semi").groupBy("cid").agg(F.collect_list("range").alias("ranges")), "nodes")
         for path in scratch:
             dropped(spark, path)
@@ -269,14 +270,18 @@ def deduplicated(
         found = family.add(anchors.filter(F.col("batch") == i))
         matched = found if matched is None else matched.unionByName(found)
     seen: list[str] = []
-    occurrences = written(anchors.drop("batch").join(matched.distinct(), "key"), "occurrences", seen)
+    # sides with a row per key are tables of their own: a join of two plain shuffles is one that Spark can split at hot keys
+    matched = written(matched.distinct(), "keys", seen)
+    occurrences = written(anchors.drop("batch").join(matched, "key"), "occurrences", seen)
     family.close()
     for path in scratch:
         dropped(spark, path)
     released(spark)
     classes = occurrences.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("uid", "n_bytes", "pos")).alias("first"))
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
-    told = occurrences.join(classes, ["key", "ctx"]).join(keys, "key")
+    classes = written(classes, "classes", seen)
+    keys = written(classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")), "keys", seen)
+    classes = written(classes.join(keys, "key"), "classes", seen)
+    told = occurrences.join(classes, ["key", "ctx"])
     mine = F.struct("uid", "n_bytes", "pos") == F.col("first")
     marks = told.groupBy("uid", "n_bytes").agg(
         F.collect_set(F.when(F.col("same") > 1, F.col("pos"))).alias("whole"),
