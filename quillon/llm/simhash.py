@@ -29,13 +29,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
-    """The 64-bit SimHash of each text of a buffer over its word shingles."""
+def shingles_of(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of each text of a buffer, in order, and how many each text has."""
     texts = len(offsets) - 1
-    out = np.zeros(texts, np.uint64)
     starts, ends, first = word_spans(data, offsets)
     if not len(starts):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(texts, np.int64)
     lengths = ends - starts
     keep = ~_SPACE[data]
     after = ends[ends < len(data)]
@@ -53,7 +52,15 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
     last = np.minimum(begin + words, first[1:][owner[begin]]) - 1
     digest = xxhash.xxh64_intdigest
     s, e = at[begin].tolist(), (at[last] + lengths[last]).tolist()
-    hashes = np.fromiter((digest(flat[x:y], SEED) for x, y in zip(s, e, strict=True)), np.uint64, len(s))
+    return np.fromiter((digest(flat[x:y], SEED) for x, y in zip(s, e, strict=True)), np.uint64, len(s)), shingles
+
+
+def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
+    """The 64-bit SimHash of each text of a buffer over its word shingles."""
+    out = np.zeros(len(offsets) - 1, np.uint64)
+    hashes, shingles = shingles_of(data, offsets, words)
+    if not len(hashes):
+        return out
     some = np.flatnonzero(shingles)
     cuts = (np.cumsum(shingles) - shingles)[some]
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
