@@ -28,12 +28,19 @@ class Bands:
     """Limits of the zstandard ratio.
 
     whole: (shortest length in bytes, lowest, highest ratio) of length classes in ascending
-    order; texts shorter than the first class get no verdict. Chunks of chunk_bytes (a last,
+    order; limits below 1000 bytes lie between the highest ratio of prose and the lowest of base64
+    of that length (below 130 bytes the two overlap). Texts under short_bytes are `short` unless
+    they are incompressible. Chunks of chunk_bytes (a last,
     shorter one counts only if it is at least half as long) must lie in chunk_band but for a
     share of max_bad_chunks. Encoded data (base64) lies at 0.75 and above, prose of 1000 bytes below 0.65.
     """
 
-    whole: tuple[tuple[int, float, float], ...] = ((200, 0.15, 0.93), (1000, 0.11, 0.70), (4000, 0.10, 0.66), (16000, 0.08, 0.64))
+    whole: tuple[tuple[int, float, float], ...] = (
+        *((130, 0.0, 0.95), (160, 0.0, 0.93), (200, 0.15, 0.885), (250, 0.15, 0.86), (300, 0.15, 0.83), (350, 0.15, 0.81)),
+        *((400, 0.15, 0.79), (500, 0.15, 0.77), (600, 0.15, 0.75), (800, 0.15, 0.72)),
+        *((1000, 0.11, 0.70), (4000, 0.10, 0.66), (16000, 0.08, 0.64)),
+    )
+    short_bytes: int = 200
     chunk_bytes: int = 4096
     chunk_band: tuple[float, float] = (0.08, 0.70)
     max_bad_chunks: float = 0.5
@@ -148,9 +155,9 @@ def judged(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text
     for size, a, b in bands.whole:
         low, high = F.when(n >= size, F.lit(a)).otherwise(low), F.when(n >= size, F.lit(b)).otherwise(high)
     band = (
-        F.when(low.isNull(), "short")
+        F.when(r > high, "incompressible")
+        .when(n < bands.short_bytes, "short")
         .when(r < low, "repetitive")
-        .when(r > high, "incompressible")
         .when(F.col("n_bad_chunks") > bands.max_bad_chunks * F.col("n_chunks"), "chunks")
         .otherwise("ok")
     )
