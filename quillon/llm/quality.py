@@ -30,9 +30,9 @@ class Bands:
     whole: (shortest length in bytes, lowest, highest ratio) of length classes in ascending
     order; limits below 1000 bytes lie between the highest ratio of prose and the lowest of base64
     of that length (below 130 bytes the two overlap). Texts under short_bytes are `short` unless
-    they are incompressible. Chunks of chunk_bytes (a last,
-    shorter one counts only if it is at least half as long) must lie in chunk_band but for a
-    share of max_bad_chunks. Encoded data (base64) lies at 0.75 and above, prose of 1000 bytes below 0.65.
+    they are incompressible. Chunks of chunk_bytes (a rest
+    under half as long belongs to the chunk before it) must lie in chunk_band but for a share of
+    max_bad_chunks, of which fewer than bad_run in a row. Encoded data (base64) lies at 0.75 and above, prose of 1000 bytes below 0.65.
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
@@ -42,14 +42,15 @@ class Bands:
     )
     short_bytes: int = 200
     chunk_bytes: int = 4096
-    chunk_band: tuple[float, float] = (0.08, 0.70)
-    max_bad_chunks: float = 0.5
+    chunk_band: tuple[float, float] = (0.08, 0.62)
+    max_bad_chunks: float = 0.1
+    bad_run: int = 2
     level: int = 3
 
 
 SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_bytes long, whole_ratio double, n_chunks long, n_bad_chunks long"
+    "n_bytes long, whole_ratio double, n_chunks long, n_bad_chunks long, bad_run long"
 )
 
 
@@ -111,20 +112,24 @@ def ratios(data: np.ndarray, offsets: np.ndarray, bands: Bands) -> dict[str, np.
     squeeze = zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress
     view = memoryview(data)
     low, high = bands.chunk_band
-    n, whole, chunks, bad = [], [], [], []
+    n, whole, chunks, bad, runs = [], [], [], [], []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
         n.append(b - a)
         whole.append(len(squeeze(view[a:b])) / (b - a) if b > a else None)
-        k = wrong = 0
+        k = wrong = run = longest = 0
         if b - a > bands.chunk_bytes:
-            for c in range(a, b, bands.chunk_bytes):
-                part = view[c : min(b, c + bands.chunk_bytes)]
-                if 2 * len(part) >= bands.chunk_bytes:
-                    k += 1
-                    wrong += not low <= len(squeeze(part)) / len(part) <= high
+            starts = list(range(a, b, bands.chunk_bytes))
+            if 2 * (b - starts[-1]) < bands.chunk_bytes:
+                starts.pop()
+            for c, d in zip(starts, [*starts[1:], b], strict=True):
+                k += 1
+                run = 0 if low <= len(squeeze(view[c:d])) / (d - c) <= high else run + 1
+                wrong += run > 0
+                longest = max(longest, run)
         chunks.append(k)
         bad.append(wrong)
-    return {"n_bytes": n, "whole_ratio": whole, "n_chunks": chunks, "n_bad_chunks": bad}
+        runs.append(longest)
+    return {"n_bytes": n, "whole_ratio": whole, "n_chunks": chunks, "n_bad_chunks": bad, "bad_run": runs}
 
 
 def measured(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,9 +163,9 @@ def judged(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text
         F.when(r > high, "incompressible")
         .when(n < bands.short_bytes, "short")
         .when(r < low, "repetitive")
-        .when(F.col("n_bad_chunks") > bands.max_bad_chunks * F.col("n_chunks"), "chunks")
+        .when((F.col("n_bad_chunks") > bands.max_bad_chunks * F.col("n_chunks")) | (F.col("bad_run") >= bands.bad_run), "chunks")
         .otherwise("ok")
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("band_verdict", band)
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("band_verdict").isin("short", "ok"))
+    return out.withColumn("kept", ~F.col("base_failed") & F.col("band_verdict").isin("short", "ok")).drop("bad_run")
