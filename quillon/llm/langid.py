@@ -24,7 +24,8 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """rows: hash rows. per_lang: training texts of a language, about, at most; max_langs: most languages (the commonest).
+    """rows: hash rows. per_lang: training texts of a language, about, at most, fewer where
+    all languages would have more than max_texts together; max_langs: more labels are an error.
 
     reject_rate: share of correctly told calibration texts that the rejection threshold may cost;
     max_threshold: its upper bound.
@@ -34,7 +35,8 @@ class Settings:
     dim: int = 12
     grams: tuple[int, ...] = (2, 3, 4)
     per_lang: int = 600
-    max_langs: int = 64
+    max_texts: int = 38_400
+    max_langs: int = 1024
     epochs: int = 6
     batch: int = 16
     rate: float = 0.5
@@ -88,16 +90,20 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> tuple
 
 
 def sampled(docs: DataFrame, settings: Settings, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """About per_lang rows of each language (all where there are fewer): those whose hash lies in the share that this is of them."""
+    """About per_lang rows of each language (all where there are fewer): those whose hash lies in the share that this is of them.
+
+    With many languages, max_texts is shared out evenly instead, so that each is learned and the sample stays bounded.
+    """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h")
     )
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(settings.max_langs).collect()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(settings.max_langs + 1).collect()
+    if len(sizes) > settings.max_langs:
+        raise ValueError(f"more than {settings.max_langs} languages")
     parts = 1 << 30
-    most = F.lit(0)
-    for r in sizes:
-        most = F.when(F.col("lang") == r["lang"], F.lit(min(parts, parts * settings.per_lang // r["n"]))).otherwise(most)
-    return known.filter(F.pmod("h", F.lit(parts)) < most)
+    each = min(settings.per_lang, settings.max_texts // max(1, len(sizes)))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(parts, parts * each // r["n"])) for r in sizes], "lang string, most long")
+    return known.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(parts)) < F.col("most")).drop("most")
 
 
 def counted(texts: DataFrame, settings: Settings) -> DataFrame:
@@ -135,7 +141,7 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
     sizes: dict[str, int] = {}
     for r in rows:
         sizes[r[0]] = sizes.get(r[0], 0) + 1
-    langs = tuple(sorted(sorted(sizes, key=lambda x: (-sizes[x], x))[: settings.max_langs]))
+    langs = tuple(sorted(sizes))
     index = {x: i for i, x in enumerate(langs)}
     rows = [r for r in rows if r[0] in index and len(r[2])]
     rng = np.random.default_rng(settings.seed)
@@ -188,7 +194,7 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     """
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     source = docs.select(*dict.fromkeys([id_col, *carry]), F.when(letters, F.col(text_col)).alias("__text"))
-    table = docs.sparkSession.sparkContext.broadcast((model.table, model.bias, model.langs))  # rows x max_langs floats
+    table = docs.sparkSession.sparkContext.broadcast((model.table, model.bias, model.langs))  # rows x languages floats
     settings, scale = model.settings, model.scale
     keep = source.columns[:-1]
 
