@@ -5,7 +5,8 @@ gradient descent with an L1 penalty on paragraphs made from licence templates (w
 with words dropped and with other words around) and on paragraphs that speak of licences without
 granting one of the known families. Weights that stay zero leave the model, so it is a short
 table of (n-gram, family, weight). Scoring splits texts into paragraphs, looks the n-grams of
-those with a licensing word up in that table and sums, all in DataFrame operations.
+those with a licensing word up in that table and sums, all in DataFrame operations. Wrapped lines
+are joined, without their comment marks.
 """
 
 from __future__ import annotations
@@ -91,7 +92,12 @@ OTHERS = [
     "The public library lends books under the usual terms and conditions.",
 ]
 CUE = r"(?i)licen[sc]e|copyright|permission|permitted|redistribut|spdx|creative commons|\bcc[ -]?by|\bcc0|\bgpl|apache|all rights reserved|proprietary|public domain"
+# The same, with a phrase that goes on in a further line, after comment marks.
+SPLIT_CUE = CUE.replace("creative commons", r"creative\W+commons").replace("all rights reserved", r"all\W+rights\W+reserved").replace("public domain", r"public\W+domain")
 TOKEN = r"[a-z0-9]+"
+MARKS = r"^\s*(?:(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|>+)\s*)*|\s*(?:\*+/|-->|\*+|#+)?\s*$"
+# Wrapped notices: so many lines of at most so many characters are joined.
+MOST_LINES, WRAPPED = 8, 160
 
 
 @dataclass(frozen=True)
@@ -179,13 +185,26 @@ def trained(settings: Settings = Settings()) -> Model:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, paragraph, words) of the paragraphs with a licensing word; lines are paragraphs."""
-    rows = docs.filter(F.col(text_col).rlike(CUE)).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("x"), F.posexplode(F.split(text_col, "\n")).alias("par", "line"))
-    return rows.filter(F.col("line").rlike(CUE)).select("id", "x", "par", F.regexp_extract_all(F.lower("line"), F.lit(TOKEN), 0).alias("words"))
+    """(row, first and last line, words) of the paragraphs with a licensing word.
+
+    Comment marks are dropped. A line is a paragraph, and so are up to MOST_LINES wrapped lines that
+    follow each other without a blank one between them.
+    """
+    rows = docs.filter(F.col(text_col).rlike(SPLIT_CUE)).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("x"), F.split(text_col, r"\r?\n").alias("raw"))
+    rows = rows.withColumn("lines", F.transform("raw", lambda x: F.regexp_replace(x, MARKS, ""))).drop("raw")
+    # how many lines from each one on may be joined: all wrapped and none blank
+    fits = F.transform("lines", lambda x: (F.length(x) > 0) & (F.length(x) <= WRAPPED))
+    rows = rows.withColumn("fits", fits).select("id", "x", "lines", "fits", F.explode(F.sequence(F.lit(0), F.size("lines") - 1)).alias("par"))
+    rows = rows.select("id", "x", "par", F.expr(f"slice(lines, par + 1, {MOST_LINES})").alias("lines"), F.expr(f"array_position(slice(fits, par + 1, {MOST_LINES}), false)").alias("stop"))
+    rows = rows.filter(F.array_join("lines", " ").rlike(CUE))
+    most = F.when(F.col("stop") == 0, F.size("lines")).otherwise(F.greatest(F.col("stop") - 1, F.lit(1))).cast("int")
+    rows = rows.select("id", "x", "par", "lines", F.explode(F.sequence(F.lit(1), most)).alias("n"))
+    rows = rows.select("id", "x", "par", (F.col("par") + F.col("n") - 1).alias("last"), F.array_join(F.slice("lines", 1, F.col("n")), " ").alias("line"))
+    return rows.filter(F.col("line").rlike(CUE)).select("id", "x", "par", "last", F.regexp_extract_all(F.lower("line"), F.lit(TOKEN), 0).alias("words"))
 
 
 def classified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, x, par, family, score, confirmed) of each licensing paragraph; x is a hash of its text.
+    """(id, x, par, last, family, score, template_fit) of each licensing paragraph (lines par to last); x is a hash of its text.
 
     family is the likeliest one; `unknown` where its probability lies below the calibrated threshold
     or no template has at least `confirm` of its bigrams in the paragraph; `none` where the
@@ -219,7 +238,7 @@ def classified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_i
     confirmed = (F.col("score") >= model.threshold) & (F.col("fit") >= model.settings.confirm)
     family = F.when(F.col("top.family") == NONE, NONE).when(confirmed, F.col("top.family")).otherwise(UNKNOWN)
     scored = scored.select("kind", family.alias("family"), F.round("score", 6).alias("score"), F.round("fit", 6).alias("template_fit"))
-    return pars.select("id", "x", "par", F.xxhash64("words").alias("kind")).join(scored, "kind").drop("kind")
+    return pars.select("id", "x", "par", "last", F.xxhash64("words").alias("kind")).join(scored, "kind").drop("kind")
 
 
 def scanned(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,7 +248,22 @@ def scanned(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id",
     surest paragraph (ties: the first), null where there is none. Null and empty texts have none;
     equal rows each keep a row. Extra columns are not read.
     """
-    found = classified(docs, model, id_col, text_col).filter(F.col("family") != NONE)
+    found = classified(docs, model, id_col, text_col)
+    # joined lines count where they are a known family's; lines on their own also as unknown
+    found = found.filter((F.col("family") != NONE) & ((F.col("family") != UNKNOWN) | (F.col("par") == F.col("last"))))
+    unit = F.struct((-F.col("template_fit")).alias("order"), (F.col("last") - F.col("par")).alias("more"), "par", "last", "family", "score", "template_fit")
+    found = found.groupBy("id", "x").agg(F.array_sort(F.collect_list(unit)).alias("all"))
+    apart = lambda u, v: (u["last"] < v["par"]) | (v["last"] < u["par"])
+    alone = F.filter("all", lambda u: (u["more"] == 0) & (u["family"] != UNKNOWN))
+    joined = F.filter("all", lambda u: (u["more"] > 0) & F.forall("alone", lambda v: apart(u, v)))
+    wider = F.filter("all", lambda u: (u["more"] > 0) & F.forall("alone", lambda v: apart(u, v) | (v["template_fit"] < u["template_fit"])))
+    # of joined lines that overlap, those that fit a template best stay
+    found = found.withColumn("alone", alone).withColumn("joined", joined).withColumn("wider", wider)
+    best = F.aggregate("joined", F.slice("joined", 1, 0), lambda a, u: F.when(F.forall(a, lambda v: apart(u, v)), F.concat(a, F.array(u))).otherwise(a))
+    found = found.withColumn("joined", best)
+    # an unknown line of joined lines that fit a template better than each line does is explained by them
+    rest = F.filter("all", lambda u: (u["family"] == UNKNOWN) & F.forall("wider", lambda v: apart(u, v)))
+    found = found.select("id", "x", F.explode(F.concat("alone", "joined", rest)).alias("u")).select("id", "x", "u.*")
     sure = F.struct((F.col("family") != UNKNOWN).alias("known"), "score", (-F.col("par")).alias("p"), "family", "template_fit")
     found = found.groupBy("id", "x").agg(
         F.max(sure).alias("best"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licenses"), F.count(F.lit(1)).alias("n_license_paragraphs")
