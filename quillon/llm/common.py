@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 512 << 10
+BATCH_BYTES = 4 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,6 +24,8 @@ def shared_root(spark: SparkSession) -> str:
         sc = spark.sparkContext
         root = sc.getCheckpointDir()
         if not root:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("spark.checkpoint.dir is unset: executors need a folder that they share")
             root = f"file://{tempfile.mkdtemp(prefix='quillon-')}"
             sc.setCheckpointDir(root)
     return root if ":" in root else f"file://{root}"
@@ -56,6 +59,13 @@ def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def byte_batches(spark: SparkSession) -> None:
+    """Where the session sets no limit itself, Arrow batches hold BATCH_BYTES or one row, so rows of long texts don't come by the thousand."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def n_words(text: Column) -> Column:
     """Words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import _LOWER_CODE, text_buffers
+from quillon.llm.common import _LOWER_CODE, byte_batches, text_buffers
 
 UNKNOWN = "und"
+PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -48,45 +49,61 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
+    """langs, embeddings (a row a hash), softmax (a column a language) and bias; scale: inverse temperature."""
+
     langs: tuple[str, ...]
-    table: np.ndarray
+    emb: np.ndarray
+    out: np.ndarray
     bias: np.ndarray
     scale: float
     threshold: float
     settings: Settings
 
 
-def gram_ids(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Hash rows of all subwords of a buffer of texts, and the number of each text's rows.
+def gram_pieces(data: np.ndarray, offsets: np.ndarray, settings: Settings, piece: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, text after the last, hash rows, rows of each text) of the subwords of a buffer of texts.
 
     Letters are lower-cased where they are ASCII; other ASCII bytes than letters part words and
-    count as one mark, which a gram may hold at its ends only.
+    count as one mark, which a gram may hold at its ends only. Subwords are taken by where they
+    begin, `piece` bytes at a time, so a text of any length needs the same memory.
     """
-    code = _LOWER_CODE[data].astype(np.uint32)
-    n = len(code)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    letter = code != 0
-    out, owners = [], []
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    for k in settings.grams:
-        if n < k:
-            continue
-        m = n - k + 1
-        h = np.zeros(m, np.uint32)
-        ok = np.arange(m) + k <= ends[:m]
-        for j in range(k):
-            h = h * np.uint32(0x01000193) + code[j : m + j]
-            if 0 < j < k - 1:
-                ok &= letter[j : m + j]
-        ok &= letter[:m] | letter[k - 1 :] if k == 2 else ok
-        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B + k * 2)
-        out.append(((h ^ (h >> np.uint32(13))) % np.uint32(settings.rows))[ok])
-        owners.append(owner[:m][ok])
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    ids, owner = np.concatenate(out).astype(np.int64), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return ids[order], np.bincount(owner, minlength=len(offsets) - 1)
+    n, longest = len(data), max(settings.grams)
+    for lo in range(0, n, piece):
+        hi = min(lo + piece, n)
+        code = _LOWER_CODE[data[lo : hi + longest - 1]].astype(np.uint32)
+        letter = code != 0
+        t0, t1 = int(np.searchsorted(offsets, lo, side="right")) - 1, int(np.searchsorted(offsets, hi, side="left"))
+        bounds, ends = np.clip(offsets[t0 : t1 + 1], lo, hi) - lo, offsets[t0 + 1 : t1 + 1] - lo
+        for k in settings.grams:
+            m = min(hi - lo, len(code) - k + 1)
+            if m <= 0:
+                continue
+            h, ok = np.zeros(m, np.uint32), np.ones(m, bool)
+            for j in range(k):
+                h = h * np.uint32(0x01000193) + code[j : m + j]
+                if 0 < j < k - 1:
+                    ok &= letter[j : m + j]
+            if k == 2:
+                ok &= letter[:m] | letter[1 : m + 1]
+            for j in range(1, k):  # a gram ends with its text
+                over = ends - j
+                ok[over[(over >= 0) & (over < m)]] = False
+            h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B + k * 2)
+            seen = np.zeros(m + 1, np.int64)
+            np.cumsum(ok, out=seen[1:])
+            yield t0, t1, ((h ^ (h >> np.uint32(13))) % np.uint32(settings.rows))[ok].astype(np.int64), np.diff(seen[np.minimum(bounds, m)])
+
+
+def gram_counts(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending by text: the distinct hash rows of each text, how often each occurs there, and how many rows each text has."""
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for t0, t1, ids, sizes in gram_pieces(data, offsets, settings):
+        k, c = np.unique(np.repeat(np.arange(t0, t1), sizes) * settings.rows + ids, return_counts=True)
+        keys.append(k)
+        counts.append(c)
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    count = np.bincount(at, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+    return key % settings.rows, count, np.bincount(key // settings.rows, minlength=len(offsets) - 1)
 
 
 def sampled(docs: DataFrame, settings: Settings, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -111,17 +128,11 @@ def counted(texts: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_buffers(batch.column(2)):
-                ids, sizes = gram_ids(data, offsets, settings)
-                rows, counts = [], []
-                for part in np.split(ids, np.cumsum(sizes)[:-1]):
-                    c = np.bincount(part, minlength=1)
-                    at = np.flatnonzero(c)
-                    rows.append(at.astype(np.int32))
-                    counts.append(c[at].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(rows, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["lang", "h", "ids", "counts"]
-                )
+            for lo, hi, data, offsets in text_buffers(batch.column(2), PIECE):
+                rows, counts, sizes = gram_counts(data, offsets, settings)
+                cuts = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (rows, counts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *lists], ["lang", "h", "ids", "counts"])
 
     return texts.select("lang", "h", "text").mapInArrow(run, "lang string, h long, ids array<int>, counts array<int>")
 
@@ -167,20 +178,20 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
             bias -= rate * err.mean(axis=0) * 0.1
             for i, g in zip(part, back, strict=True):
                 emb[rows[i][2]] -= (rate * 40 * weight[i])[:, None] * g[None, :]
-    table = emb @ out
     if not len(langs):
-        return Model((), np.zeros((settings.rows, 0), np.float32), bias, 1.0, 0.0, settings)
+        return Model((), emb, out, bias, 1.0, 0.0, settings)
     check = held or fit
-    raw = np.stack([weight[i] @ table[rows[i][2]] for i in check]) + bias
+    raw = np.stack([weight[i] @ emb[rows[i][2]] for i in check]) @ out + bias
     best = min((float(-np.log(np.clip(softmax(raw * s)[np.arange(len(check)), y[check]], 1e-12, 1)).mean()), s) for s in (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0))
     p = softmax(raw * best[1])
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[check]])
     threshold = float(right[int(len(right) * settings.reject_rate)]) * 0.9 if len(right) else 0.0
-    return Model(langs, table.astype(np.float32), bias, best[1], min(threshold, settings.max_threshold), settings)
+    return Model(langs, emb, out, bias, best[1], min(threshold, settings.max_threshold), settings)
 
 
 def fitted(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on the labelled rows of docs: per_lang texts of a language at most, whole ones, reach the driver as counts."""
+    byte_batches(docs.sparkSession)
     sample = counted(sampled(docs, settings, id_col, text_col, lang_col), settings)
     rows = [(r["lang"], r["h"], np.asarray(r["ids"], np.int64), np.asarray(r["counts"], np.float32)) for r in sample.toLocalIterator()]
     return trained(rows, settings)
@@ -191,34 +202,48 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
 
     lang_pred is `und` with score 0 where the text is null or has no letter (or nothing was
     learned); rejected is true there and where the score lies below the calibrated threshold.
+    Of languages with equal scores the first by name is told; equal rows each keep a row. Texts of
+    any length are read whole. A carried column that is called as a result ends in `_in`.
     """
-    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(*dict.fromkeys([id_col, *carry]), F.when(letters, F.col(text_col)).alias("__text"))
-    table = docs.sparkSession.sparkContext.broadcast((model.table, model.bias, model.langs))  # rows x languages floats
-    settings, scale = model.settings, model.scale
-    keep = source.columns[:-1]
+    byte_batches(docs.sparkSession)
+    kept = list(dict.fromkeys([id_col, *carry]))
+    sent = list(dict.fromkeys([*kept, text_col]))  # each text goes to Python once
+    letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
+    source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(sent)], letters.alias("letters"))
+    # as both are linear, the narrower of languages and dimensions is summed
+    folded = len(model.langs) <= model.settings.dim
+    sums_of = model.emb @ model.out if folded else model.emb
+    table = docs.sparkSession.sparkContext.broadcast((np.ascontiguousarray(sums_of.T), None if folded else model.out, model.bias, model.langs))  # rows x dim floats at most
+    settings, scale, text_at, width = model.settings, model.scale, sent.index(text_col), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, langs = table.value
+        weights, out, bias, langs = table.value
         names = np.array([*langs, UNKNOWN], dtype=object)
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            for lo, hi, data, offsets in text_buffers(column, 1 << 20):
-                ids, sizes = gram_ids(data, offsets, settings)
-                known = np.asarray(column.slice(lo, hi - lo).is_valid()) & (sizes > 0) & (len(langs) > 0)
+            letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            for lo, hi, data, offsets in text_buffers(batch.column(text_at), PIECE):
+                sums, sizes = np.zeros((hi - lo, len(weights))), np.zeros(hi - lo, np.int64)
+                for t0, t1, ids, n in gram_pieces(data, offsets, settings):
+                    some = np.flatnonzero(n)
+                    if len(some):
+                        cuts = (np.cumsum(n) - n)[some]
+                        for c, row in enumerate(weights):
+                            sums[t0 + some, c] += np.add.reduceat(row[ids], cuts)
+                        sizes[t0:t1] += n
+                known = np.flatnonzero(letters[lo:hi] & (sizes > 0) & (len(langs) > 0))
                 best, score = np.full(hi - lo, len(langs)), np.zeros(hi - lo)
-                some = np.flatnonzero(known)
-                if len(some):
-                    cuts = (np.cumsum(sizes) - sizes)[some]
-                    sums = np.stack([np.add.reduceat(weights[:, c][ids], cuts) for c in range(len(langs))], axis=1)
-                    p = softmax((sums / sizes[some][:, None] + bias) * scale)
-                    best[some], score[some] = p.argmax(axis=1), p.max(axis=1)
-                rest = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(names[best], pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    out = source.mapInArrow(run, f"{fields}, lang_pred string, score double")
-    return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold))
+                if len(known):
+                    means = sums[known] / sizes[known][:, None]
+                    p = softmax(((means if out is None else means @ out) + bias) * scale)
+                    best[known], score[known] = p.argmax(axis=1), p.max(axis=1)
+                rest = [batch.column(i).slice(lo, hi - lo) for i in range(width)]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(names[best], pa.string()), pa.array(score)], [*names_in, "lang_pred", "score"])
+
+    names_in = source.columns[:width]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:width])
+    told = source.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    back = [F.col(f"c{i}").alias(f"{c}_in" if c in ("lang_pred", "score", "rejected") else c) for i, c in enumerate(kept)]
+    return told.select(*back, "lang_pred", "score", ((F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold)).alias("rejected"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

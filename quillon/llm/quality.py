@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import _SPACE, SpanHash, again, mixed, per_text, text_buffers, word_spans
+from quillon.llm.common import _SPACE, SpanHash, again, byte_batches, mixed, per_text, text_buffers, word_spans
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -154,6 +154,7 @@ def judged(docs: DataFrame, bands: Bands = Bands(), id_col: str = "doc_id", text
     band_verdict: short, ok, repetitive, incompressible or chunks. kept: neither failed.
     Null and empty texts fail the base. Extra columns of docs are not read.
     """
+    byte_batches(docs.sparkSession)
     out = measured(docs, bands, id_col, text_col)
     r, n = F.col("whole_ratio"), F.col("n_bytes")
     low, high = F.lit(None).cast("double"), F.lit(None).cast("double")

@@ -18,11 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import _SPACE, labels_of, stored, text_buffers, word_spans
+from quillon.llm.common import _SPACE, byte_batches, labels_of, stored, text_buffers, word_spans
 from quillon.llm.components import components
 
 SEED = 42
 TILE = 512
+PIECE = 1 << 16
 # Keys of two of six blocks have 21 bits: few fingerprints of 10**9 share one by chance. Beyond, take 8 blocks (70 keys of 32 bits).
 BLOCKS = 6
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -51,8 +52,12 @@ def shingles_of(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.n
     begin = np.repeat(first[:-1], shingles) + (np.arange(shingles.sum()) - np.repeat(np.cumsum(shingles) - shingles, shingles))
     last = np.minimum(begin + words, first[1:][owner[begin]]) - 1
     digest = xxhash.xxh64_intdigest
-    s, e = at[begin].tolist(), (at[last] + lengths[last]).tolist()
-    return np.fromiter((digest(flat[x:y], SEED) for x, y in zip(s, e, strict=True)), np.uint64, len(s)), shingles
+    s, e = at[begin], at[last] + lengths[last]
+    hashes = np.empty(len(s), np.uint64)
+    for lo in range(0, len(s), PIECE):
+        part = slice(lo, lo + PIECE)
+        hashes[part] = np.fromiter((digest(flat[x:y], SEED) for x, y in zip(s[part].tolist(), e[part].tolist(), strict=True)), np.uint64, len(s[part]))
+    return hashes, shingles
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
@@ -62,9 +67,12 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
     if not len(hashes):
         return out
     some = np.flatnonzero(shingles)
-    cuts = (np.cumsum(shingles) - shingles)[some]
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    set_in = np.add.reduceat(bits, cuts, axis=0, dtype=np.int64)
+    ends = np.cumsum(shingles)[some]
+    set_in = np.zeros((len(some), 64), np.int64)
+    for lo in range(0, len(hashes), PIECE):
+        bits = np.unpackbits(hashes[lo : lo + PIECE].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        a, b = int(np.searchsorted(ends, lo, side="right")), int(np.searchsorted(ends, lo + len(bits))) + 1  # texts with shingles in the piece
+        set_in[a:b] += np.add.reduceat(bits, np.maximum(ends[a:b] - shingles[some[a:b]] - lo, 0), axis=0, dtype=np.int64)
     major = (2 * set_in > shingles[some][:, None]).astype(np.uint8)
     out[some] = np.packbits(major, axis=1, bitorder="little").reshape(-1, 8).copy().view("<u8").ravel()
     return out
@@ -79,6 +87,7 @@ def fingerprinted(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_
                 fp = fingerprints_of(data, offsets, words).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(fp)], ["id", "uid", "fp"])
 
+    byte_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), uid_of(id_col, text_col).alias("uid"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid long, fp long")
 
