@@ -37,13 +37,18 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: Bytes of a passage that is reported as repeated, though it stays: below those of fifty common words.
+PASSAGE_BYTES = 256
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, sf_dir):
-    found = suffixes.deduplicated(table(spark, sf_dir, "documents"))
-    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"]), F.lit(0).cast("long"))
+    found = suffixes.deduplicated(table(spark, sf_dir, "documents"), also=PASSAGE_BYTES)
+    bytes_in = lambda c: F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"]), F.lit(0).cast("long"))
     return found.select(
-        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
+        F.col("id").alias("doc_id"), "n_bytes", bytes_in("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("repeats") > 0).alias("repeats_passage"), bytes_in("repeats").alias("n_passage_bytes"), F.octet_length("kept").cast("long").alias("n_kept"),
+    )
 
 
 @query("op8_language_id")

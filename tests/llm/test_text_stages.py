@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillon.llm import langid, licenses, quality, simhash, suffixes
-from quillon.llm.common import labels_of, running, text_buffers
+from quillon.llm.common import labels_of, running, shared_path, text_buffers
 from quillon.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,10 +134,10 @@ def removed_spans(texts, length):
     return out
 
 
-@pytest.mark.parametrize(("length", "seed"), [(40, 1), (64, 2)])
-def test_suffix_dedup_equals_brute_force(spark, length, seed):
+@pytest.mark.parametrize(("length", "also", "seed", "group"), [(40, None, 1, 4096), (64, 48, 2, 16), (64, 40, 3, 4)])
+def test_suffix_dedup_equals_brute_force(spark, length, also, seed, group):
     rng = random.Random(seed)
-    letters = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    letters = lambda n: "".join(rng.choice("abcdefgh é\0") for _ in range(n))
     base = [letters(300) for _ in range(5)]
     texts = [None, "", "a" * 500, "ab" * 300, "xyz" * 30, "short"]
     for _ in range(90):
@@ -147,13 +147,21 @@ def test_suffix_dedup_equals_brute_force(spark, length, seed):
             t += rng.choice(base)[a : a + rng.randint(10, 200)] + (letters(rng.randint(1, 60)) if rng.random() < 0.5 else "")
         texts.append(t)
     texts += [texts[-1], texts[-1], texts[-1].upper()]
-    got = {r.id: r for r in suffixes.deduplicated(frame(spark, texts), length, keep=("source",)).collect()}
-    for i, want in enumerate(removed_spans(texts, length)):
+    docs = frame(spark, texts)
+    docs = docs.unionByName(docs.filter(f"doc_id = {len(texts) - 5}")).withColumn("spans", F.lit(1))
+    texts.append(texts[-5])
+    rows = suffixes.deduplicated(docs, length, keep=("source", "spans"), also=also, group=group).collect()
+    assert len(rows) == len(texts)
+    got = {r.id: r for r in rows}
+    more = removed_spans(texts, also) if also else [None] * len(texts)
+    for i, want in enumerate(removed_spans(texts, length)[:-1]):
         assert [(s.a, s.b) for s in got[i].spans] == want, i
+        assert (got[i].repeats and [(s.a, s.b) for s in got[i].repeats]) == (more[i] or ([] if also else None)), i
         raw = (texts[i] or "").encode()
         kept = b"".join(raw[a:b] for a, b in zip([0, *[s[1] for s in want]], [*[s[0] for s in want], len(raw)], strict=True))
         assert hashlib.sha256(bytes(got[i].kept)).digest() == hashlib.sha256(kept).digest()
-        assert got[i].source == "s"
+        assert got[i].source == "s" and got[i].spans_in == 1 and got[i].n_bytes == len(raw)
+        assert got[i].repaired == (texts[i] if not want else kept.decode(errors="ignore"))
 
 
 def test_suffix_dedup_of_the_default_length(spark):
@@ -167,14 +175,30 @@ def test_suffix_dedup_of_the_default_length(spark):
 
 
 def test_index_levels_grow_geometrically(spark):
-    family = suffixes.IndexFamily(spark)
-    sizes = []
+    path, sizes = shared_path(spark, "family"), []
     for i in range(5):
-        found = family.add(spark.createDataFrame([(100 + i,), (1,), (2 if i == 3 else 50 + i,)], "key long"))
-        assert sorted(r.key for r in found.distinct().collect()) == ([] if i == 0 else [1])
-        sizes.append([s for s, _ in family.levels])
+        family = suffixes.IndexFamily(spark, path)  # opened again for each batch
+        rows = [(h, h, h, i, h, 9, 0) for h in (100 + i, 1, 2 if i == 3 else 50 + i)]
+        found = family.add(spark.createDataFrame(rows, "head long, tail long, ctx long, u0 long, u1 long, n_bytes long, pos long"))
+        assert sorted(r.head for r in found.distinct().collect()) == ([] if i == 0 else [1])
+        sizes.append([b - a + 1 for a, b in family.levels])
     assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1]]
-    family.close()
+    whole = {r["head"]: (r["n"], r["first"].u0) for r in suffixes.IndexFamily(spark, path).arrays().collect()}
+    assert whole[1] == (5, 0) and whole[102] == (1, 2) and len(whole) == 11
+    (files,) = {f.rpartition("/")[0] for f in family._read(family.levels[0]).inputFiles()}
+    assert files.endswith("level-000000-000003")
+    family.drop()
+    assert suffixes.IndexFamily(spark, path).levels == []
+
+
+def test_anchors_of_pieces(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (5000, 30, 900, 0, 2600)]
+    docs = frame(spark, texts)
+    whole = suffixes.anchor_table(docs, (64, 90)).collect()
+    assert len(whole) > 200
+    for piece in (100, 700):
+        assert sorted(suffixes.anchor_table(docs, (64, 90), piece=piece).collect()) == sorted(whole)
 
 
 def test_language_id(spark):
