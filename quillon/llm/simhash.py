@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import _SPACE, byte_batches, labels_of, stored, text_buffers, word_spans
+from quillon.llm.common import _SPACE, byte_batches, dropped, labels_of, text_buffers, word_spans, written
 from quillon.llm.components import components
 
 SEED = 42
@@ -79,7 +79,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
 
 
 def fingerprinted(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, uid (equal only for rows of equal id and text) and fp (the fingerprint's bits as a signed long) of each row; no words: 0."""
+    """id, uid and fp (the fingerprint's bits as a signed long) of each row; no words: 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +89,7 @@ def fingerprinted(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_
 
     byte_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), uid_of(id_col, text_col).alias("uid"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid long, fp long")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid struct<u0:long,u1:long>, fp long")
 
 
 def block_masks(blocks: int, distance: int) -> list[int]:
@@ -103,14 +103,15 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def close_links(fps: DataFrame, distance: int = 4, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+def close_links(fps: DataFrame, distance: int = 4, blocks: int = BLOCKS, tile: int = TILE, scratch: list[str] | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints that join the same ones as all pairs within `distance` bits do."""
     if blocks <= distance:
         raise ValueError("blocks must be more than distance")
     masks = block_masks(blocks, distance)
     keys = F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for i, m in enumerate(masks)])
     rows = fps.select("fp", F.explode(keys).alias("k")).select(F.xxhash64("k.m", "k.v").alias("key"), "fp")
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # a row per key, as a table of its own: Spark can split the other side at a hot key
+    sizes = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "block-keys", scratch)
     rows = rows.join(sizes, "key")
     # tiles of a large key: each fingerprint belongs to one and meets the others in the cells (i, j)
     tiles = F.ceil(F.col("n") / tile).cast("int")
@@ -170,17 +171,22 @@ def close_links(fps: DataFrame, distance: int = 4, blocks: int = BLOCKS, tile: i
 
 
 def uid_of(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    """128 bits that are equal for rows of equal id and text only."""
+    i, t = F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")
+    return F.struct(F.xxhash64(i, t).alias("u0"), F.xxhash64(F.lit(1), t, i).alias("u1"))
 
 
 def grouped(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, uid, fp, root (the component's least fingerprint) and component_id of each row."""
-    rows = stored(fingerprinted(docs, words, id_col, text_col))
-    fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(close_links(fps.select("fp"), distance, blocks), "a", "b").withColumnRenamed("node", "fp")
-    linked = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(linked.join(least, "root").select("fp", "root", "component_id"))
+    spark, scratch = docs.sparkSession, []
+    rows = written(fingerprinted(docs, words, id_col, text_col), "fingerprints")
+    fps = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct", scratch)
+    roots = components(close_links(fps.select("fp"), distance, blocks, scratch=scratch), "a", "b").withColumnRenamed("node", "fp")
+    linked = written(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "linked", scratch)
+    least = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "least", scratch)
+    named = written(linked.join(least, "root").select("fp", "root", "component_id"), "components")
+    for path in scratch:
+        dropped(spark, path)
     return rows.join(named, "fp")
 
 
@@ -200,5 +206,11 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row of the smallest id of each component, with docs' columns; a null id stands last, and of equal rows one stays."""
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "uid")).alias("first")
-    keepers = grouped(docs, words, distance, blocks, id_col, text_col).groupBy("root").agg(first).select(F.col("first.uid").alias("__uid"))
-    return docs.withColumn("__uid", uid_of(id_col, text_col)).join(keepers, "__uid", "left_semi").dropDuplicates(["__uid"]).drop("__uid")
+    return chosen(docs, grouped(docs, words, distance, blocks, id_col, text_col).groupBy("root").agg(first).select("first.uid"), id_col, text_col)
+
+
+def chosen(docs: DataFrame, uids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs, one of equal ones each, whose uid_of is in uids; columns of docs may have any names."""
+    inner = docs.select(uid_of(id_col, text_col).alias("uid"), F.struct("*").alias("row"))
+    rows = inner.join(uids, "uid", "left_semi").dropDuplicates(["uid"])
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -3,24 +3,25 @@
 A 64-bit code is cut into segments. Codes at a distance under segments * (r + 1) have a segment
 within r bits of the query's, so once all segments were searched to radius r, every code up to
 distance segments * r + segments - 1 was seen. The radius grows until the k-th verified distance
-is covered by that. Codes are sharded and queries blocked; each cell of shard and block searches
-its own segment tables, and the shards' lists are merged. Equal codes are one entry.
+is covered by that. Codes are sharded; each shard builds its segment tables once and answers all
+queries, and the shards' lists are merged. Equal codes are one entry.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm.common import stored
 
 SEGMENTS, BITS = 4, 16
-SHARD, BLOCK, LEAST_SHARDS = 1 << 16, 2048, 16
+SHARD, QUERIES, LEAST_SHARDS = 1 << 18, 256, 16
 _MASKS: dict[int, np.ndarray] = {}
 
 
@@ -32,9 +33,10 @@ def masks(r: int) -> np.ndarray:
 
 
 def code_of(vector: Column) -> Column:
-    """Bit i is set where component i is positive; for 64 components at most. Null vectors give null."""
+    """Bit i is set where component i is positive; more than 64 components are an error. Null vectors give null, null components 0."""
     bits = F.transform(vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    code = F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return F.when(F.size(vector) > 64, F.raise_error(F.lit("a code holds 64 components at most")).cast("long")).otherwise(code)
 
 
 class SegmentIndex:
@@ -109,27 +111,36 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     entries = stored(base.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k + 1).drop("r"))
     codes = stored(entries.groupBy("code").agg(F.min("id").alias("least")))
     wanted = stored(asked.select("code").distinct())
-    n, m = codes.count(), wanted.count()
-    shards, blocks = max(LEAST_SHARDS, -(-n // SHARD)), max(1, -(-m // BLOCK))
+    n = codes.count()
+    shards = max(LEAST_SHARDS, -(-n // SHARD))
     order = codes.schema["least"].dataType.simpleString()
-    left = codes.select((F.pmod(F.xxhash64("code"), F.lit(shards)) * blocks).alias("c"), "code", "least")
-    left = left.select(F.explode(F.expr(f"sequence(c, c + {blocks - 1})")).alias("cell"), "code", "least")
-    right = wanted.select(F.pmod(F.xxhash64("code", F.lit(1)), F.lit(blocks)).alias("b"), "code")
-    right = right.select(F.explode(F.expr(f"sequence(b, b + {(shards - 1) * blocks}, {blocks})")).alias("cell"), "code")
-
-    def search(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        cols = {"query": np.zeros(0, np.int64), "code": np.zeros(0, np.int64), "least": have["least"].iloc[:0], "distance": np.zeros(0, np.int64)}
-        if not len(have) or not len(ask):
-            return pd.DataFrame(cols)
-        index = SegmentIndex(have["code"].to_numpy().view(np.uint64), have["least"].to_numpy())
-        wants = ask["code"].to_numpy()
-        parts = []
-        for lo in range(0, len(wants), 256):
-            q, at, d = index.search(wants[lo : lo + 256].view(np.uint64), k + 1)
-            parts.append(pd.DataFrame({"query": wants[lo : lo + 256][q], "code": index.codes[at].view(np.int64), "least": index.tie[at], "distance": d}))
-        return pd.concat(parts)
-
-    lists = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(search, f"query long, code long, least {order}, distance long")
+    # a shard's codes come first, its index is built once, and then all queries go by
+    left = codes.select(F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "code", "least")
+    right = wanted.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "code", F.lit(None).cast(order).alias("least"))
+    rows = left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+    names = ["query", "code", "least", "distance"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, index = None, [], None
+        for batch in batches:
+            shard, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], (shard[1:] != shard[:-1]) | (asks[1:] != asks[:-1]), [True])))
+            for lo, hi in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+                code = batch.column(2).to_numpy()[lo:hi].view(np.uint64)
+                if shard[lo] != at:
+                    at, held, index = shard[lo], [], None
+                if not asks[lo]:
+                    held.append((code, batch.column(3).slice(lo, hi - lo).to_numpy(zero_copy_only=False)))
+                    continue
+                if not held:
+                    continue
+                index = index or SegmentIndex(*[np.concatenate(x) for x in zip(*held, strict=True)])
+                for some in np.array_split(code, -(-len(code) // QUERIES)):
+                    q, where, d = index.search(some, k + 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(some[q].view(np.int64)), pa.array(index.codes[where].view(np.int64)), pa.array(index.tie[where], kind), pa.array(d)], names)
+
+    kind = pa.string() if order == "string" else {"bigint": pa.int64(), "int": pa.int32()}.get(order)
+    lists = rows.mapInArrow(search, f"query long, code long, least {order}, distance long")
     w = Window.partitionBy("query").orderBy("distance", "least")
     lists = lists.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k + 1).select("query", "code", "distance")
     named = lists.join(entries, "code")

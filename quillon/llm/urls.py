@@ -4,8 +4,8 @@ Two smoothed variable-order Markov models, of accepted and of rejected URLs, are
 the URLs that rules decide. P_k(c | last k characters) = (n(context, c) + BETA * P_(k-1)) /
 (n(context) + BETA), so a longer context speaks as far as it was seen. The log ratio of the two
 models is a sum of one value for each character and order; a URL's score is that sum by its
-length, and the threshold is the score that best parts the two kinds of decided URLs. DataFrame
-operations only.
+length. A fifth of the decided URLs is kept from the counts; the threshold is the score that best
+parts the two kinds of these. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import written
+from quillon.llm.common import dropped, written
 
 ORDER = 3
 BETA = 2.0
 BINS_PER_NAT = 64
+HELD_OUT = 5  # one in so many decided URLs is kept for the threshold
 START, END = "\x02", "\x03"
 
 
@@ -66,7 +67,7 @@ def grams(urls: DataFrame) -> DataFrame:
     return ends.select(*urls.columns, each.alias("g"))
 
 
-def trained(labelled: DataFrame) -> DataFrame:
+def trained(labelled: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     """(g, value) from (u, n, accepted): what each seen gram adds to the log ratio.
 
     A gram's value holds its own step over the shorter context, and what it changes as the context
@@ -74,7 +75,7 @@ def trained(labelled: DataFrame) -> DataFrame:
     model has seen add nothing.
     """
     side = lambda c: F.sum(F.when(F.col("accepted") == c, F.col("n")).otherwise(0)).cast("double")
-    counts = written(grams(labelled).groupBy("g").agg(side(True).alias("na"), side(False).alias("nr")), "grams")
+    counts = written(grams(labelled).groupBy("g").agg(side(True).alias("na"), side(False).alias("nr")), "grams", scratch)
     known = counts.withColumn("k", F.length("g") - 1)
     totals = known.filter("k = 0").agg(F.sum("na").alias("ta"), F.sum("nr").alias("tr"), F.count(F.lit(1)).alias("v")).first()  # one row
     ta, tr, v = float(totals["ta"] or 0), float(totals["tr"] or 0), float(totals["v"] or 0) + 1
@@ -89,8 +90,8 @@ def trained(labelled: DataFrame) -> DataFrame:
         step = F.log(F.col("pa") / F.col("la")) - F.log(F.col("pr") / F.col("lr")) - left
         values = values.unionByName(here.select("g", step.alias("x")))
         values = values.unionByName(context.select(F.col("c").alias("g"), left.alias("x")))
-        low = written(here.select("g", "pa", "pr"), "order")
-    return written(values.groupBy("g").agg(F.sum("x").alias("value")), "url-model")
+        low = written(here.select("g", "pa", "pr"), "order", scratch)
+    return written(values.groupBy("g").agg(F.sum("x").alias("value")), "url-model", scratch)
 
 
 def scored(urls: DataFrame, model: DataFrame) -> DataFrame:
@@ -103,20 +104,30 @@ def scored(urls: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def threshold(scores: DataFrame) -> float:
-    """The score that best parts accepted from rejected, each kind counting alike, from a histogram of (score, n, accepted)."""
+    """The score that best parts accepted from rejected, each kind counting alike, from a histogram of (score, n, accepted, held).
+
+    Only rows that are held out count, unless these lack a kind.
+    """
     bins = F.floor(F.least(F.greatest(F.col("score"), F.lit(-16.0)), F.lit(16.0)) * BINS_PER_NAT).cast("int")
-    rows = scores.groupBy(bins.alias("b")).agg(F.sum(F.expr("if(accepted, n, 0)")).alias("a"), F.sum(F.expr("if(accepted, 0, n)")).alias("r")).collect()  # 32 * BINS_PER_NAT rows at most
+    found = scores.groupBy(bins.alias("b"), "held").agg(F.sum(F.expr("if(accepted, n, 0)")).alias("a"), F.sum(F.expr("if(accepted, 0, n)")).alias("r")).collect()  # 64 * BINS_PER_NAT rows at most
+    rows = [x for x in found if x["held"]]
+    if not sum(x["a"] for x in rows) or not sum(x["r"] for x in rows):
+        rows = found
     a, r = sum(x["a"] for x in rows), sum(x["r"] for x in rows)
     if not a or not r:
         return 0.0
+    both: dict[int, list[int]] = {}
+    for x in rows:
+        at = both.setdefault(x["b"], [0, 0])
+        at[0], at[1] = at[0] + x["a"], at[1] + x["r"]
     best, below_a, below_r, cuts = -1.0, 0, 0, [0]
-    for x in sorted(rows, key=lambda x: x["b"]):
-        below_a, below_r = below_a + x["a"], below_r + x["r"]
+    for bin_, (in_a, in_r) in sorted(both.items()):
+        below_a, below_r = below_a + in_a, below_r + in_r
         gain = below_r / r - below_a / a
         if gain > best + 1e-12:
-            best, cuts = gain, [x["b"] + 1]
+            best, cuts = gain, [bin_ + 1]
         elif gain > best - 1e-12:
-            cuts.append(x["b"] + 1)
+            cuts.append(bin_ + 1)
     return sum(cuts) / len(cuts) / BINS_PER_NAT
 
 
@@ -124,8 +135,9 @@ def judged(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col
     """id_col, host, path, rule, verdict (allow or block) and score of each row.
 
     A URL that is null or has no :// has no characters to judge: it is blocked, its score null.
-    With no decided URL of one kind the threshold is 0. Equal URLs are scored once; repeated rows
-    stay. Extra columns are not read.
+    The threshold comes from a fifth of the decided URLs, by hash, that the models never see; where
+    a kind is missing there, from all decided ones, and with no decided URL of one kind it is 0. Scores at the threshold
+    are allowed. Equal URLs are scored once; repeated rows stay. Extra columns are not read.
     """
     rows = ruled(pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("url")), rules)
     at = F.instr("url", "://")
@@ -133,8 +145,13 @@ def judged(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col
     distinct = rows.filter("u is not null").groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.max("rule_verdict").alias("v"))
     distinct = written(distinct, "urls")
     decided = distinct.filter("v is not null").select("u", "n", (F.col("v") == "allow").alias("accepted"))
-    scores = written(scored(distinct, trained(decided)), "scores")
-    cut = threshold(decided.join(scores, "u"))
+    kept_out = F.pmod(F.xxhash64("u"), F.lit(HELD_OUT)) == 0
+    # the histogram of all decided URLs holds that of the ones kept out
+    scratch: list[str] = []
+    scores = written(scored(distinct, trained(decided.filter(~kept_out), scratch)), "scores")
+    cut = threshold(decided.join(scores, "u").withColumn("held", kept_out))
+    for path in scratch:
+        dropped(pages.sparkSession, path)
     out = rows.join(scores, "u", "left")
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= cut, "allow").otherwise("block"))
     return out.select(F.col("__id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")

@@ -24,7 +24,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import written
+from quillon.llm.common import byte_batches, written
 
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -42,16 +42,28 @@ def opened(uri: str, mode: str) -> BinaryIO:
 # --- records -----------------------------------------------------------------------------------
 
 
-def record(page: str, url: str, kind: str, digest: str, payload: bytes | None, n: int, refers_to: str | None, date: str) -> bytes:
-    """A response record with its payload, or a revisit record with HTTP headers only."""
+def named(page: str | None) -> str:
+    """A page's record id, without spaces or line breaks; a null id has a name of its own."""
+    return "<urn:page>" if page is None else f"<urn:page:{quote(page, safe='')}>"
+
+
+def page_of(name: str | None) -> str | None:
+    return unquote(name[len("<urn:page:") : -1]) if name and name.startswith("<urn:page:") else None
+
+
+def record(page: str | None, url: str | None, kind: str, digest: str, payload: bytes | None, n: int, refers_to: str | None, date: str) -> bytes:
+    """A response record with its payload, or a revisit record with HTTP headers only; a null page or URL reads back as null."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     block = http + (payload or b"")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Date: {date}"]
-    if url:
-        head.append(f"WARC-Target-URI: {quote(url, safe=chr(37) + ':/?#[]@!$&()*+,;=~')}")
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {named(page)}", f"WARC-Date: {date}"]
+    if url is not None:
+        target = quote(url, safe=chr(37) + ":/?#[]@!$&()*+,;=~")
+        head.append(f"WARC-Target-URI: {target}")
+        if target != url:
+            head.append(f"X-Page-URL: {json.dumps(url)}")  # as it was, on one line
     head += [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {n}"]
     if kind == "revisit":
-        head += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: {named(refers_to)}", f"WARC-Profile: {PROFILE}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -147,7 +159,8 @@ def typed(pages: DataFrame, least: int = 1000, id_col: str = "page_id", url_col:
 
     Of pages with equal payloads of `least` bytes or more the largest id is the response; rows that
     share that id are all responses, as are all where no id is known. Digests that occur once
-    never reach the join, and of the others only one row each.
+    never reach the join, and of the others only one row each. A null html is an empty payload, a null url
+    stays null, equal rows each have a record, and other columns are not read.
     """
     text = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), text.alias("html"), F.octet_length(text).cast("long").alias("n"), F.sha1(text.cast("binary")).alias("digest"))
@@ -172,7 +185,7 @@ def archived(records: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z"
                     names.append(f"{folder.rstrip('/')}/{uuid.uuid4().hex}.zip")
                     counts.append(0)
                     out = _Writer(names[-1], date)
-                out.add(page.as_py(), url.as_py() or "", html.as_buffer(), n.as_py(), digest.as_py(), ref.as_py())
+                out.add(page.as_py(), url.as_py(), html.as_buffer(), n.as_py(), digest.as_py(), ref.as_py())
                 counts[-1] += 1
                 if out.offset >= roll:
                     out.close()
@@ -181,6 +194,7 @@ def archived(records: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z"
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["archive", "records"])
 
+    byte_batches(records.sparkSession)
     light = records.select(F.col("page").cast("string").alias("page"), "url", "html", "n", "digest", F.col("refers_to").cast("string").alias("refers_to"))
     return written(light.mapInArrow(run, "archive string, records long"), "manifest")
 
@@ -191,14 +205,13 @@ class _Writer:
         self.zip = zipfile.ZipFile(self.file, "w", zipfile.ZIP_STORED, allowZip64=True)
         self.member = self.zip.open(zipfile.ZipInfo(RECORDS), "w", force_zip64=True)
 
-    def add(self, page: str | None, url: str, payload, n: int, digest: str, refers_to: str | None) -> None:
+    def add(self, page: str | None, url: str | None, payload, n: int, digest: str, refers_to: str | None) -> None:
         kind = "response" if refers_to is None else "revisit"
-        page = "none" if page is None else page
         raw = record(page, url, kind, digest, bytes(payload) if refers_to is None else None, n, refers_to, self.date)
         squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
         data = squeeze.compress(raw) + squeeze.flush()
         self.member.write(data)
-        self.lines.append(f"{page} {self.date} " + json.dumps({"url": url, "digest": digest, "type": kind, "offset": self.offset, "length": len(data), "filename": RECORDS}))
+        self.lines.append(f"{named(page)} {self.date} " + json.dumps({"url": url, "digest": digest, "type": kind, "offset": self.offset, "length": len(data), "filename": RECORDS}))
         self.offset += len(data)
 
     def close(self) -> None:
@@ -231,7 +244,10 @@ def located(manifest: DataFrame, span: int = 4 << 20) -> DataFrame:
 
 
 def read_back(manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """A row per record of the archives: page, url, payload_bytes, payload_digest, record_type, refers_to (and payload)."""
+    """A row per record of the archives: page, url, payload_bytes, payload_digest, record_type, refers_to (and payload).
+
+    Ids and URLs come back as they were, whatever their characters; an empty manifest has no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payloads]
@@ -243,11 +259,12 @@ def read_back(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                 for n in lengths:
                     fields, payload = parsed(zlib.decompress(raw[at : at + n], 31))
                     at += n
-                    ids = [x[len("<urn:page:") : -1] if x else None for x in (fields["warc-record-id"], fields.get("warc-refers-to"))]
+                    ids = [page_of(fields.get(x)) for x in ("warc-record-id", "warc-refers-to")]
+                    url = json.loads(u) if (u := fields.get("x-page-url")) else fields.get("warc-target-uri")
                     kind = fields["warc-type"]
                     size = len(payload) if kind == "response" else int(fields["x-payload-length"])
                     digest = fields["warc-payload-digest"].removeprefix("sha1:")
-                    rows.append((None if ids[0] == "none" else ids[0], unquote(u) if (u := fields.get("warc-target-uri")) else None, size, digest, kind, ids[1], *[payload] * payloads))
+                    rows.append((ids[0], url, size, digest, kind, ids[1], *[payload] * payloads))
                 types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.binary()] * payloads]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
