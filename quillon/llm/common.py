@@ -53,7 +53,7 @@ def stored(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """As stored(), but as Parquet, which keeps columns apart and is smaller; the path goes to `scratch` for a later dropped()."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if scratch is not None:
         scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

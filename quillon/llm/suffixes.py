@@ -31,15 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon.llm.common import SLICE_BYTES, SpanHash, byte_batches, dropped, mixed, released, row_slices, shared_path, text_buffers, written
 
 GRAM = 8
-SPLIT = 4
-GROUP = 4096
+SPLIT = 12
+GROUP = 1024
 KEY, DOC = ["head", "tail"], ["u0", "u1"]
 
 
@@ -86,10 +86,10 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def anchor_table(docs: DataFrame, lengths: tuple[int, ...], id_col: str = "doc_id", text_col: str = "text", piece: int = SLICE_BYTES) -> DataFrame:
-    """(u0, u1, n_bytes, pos, head, tail, ctx) of each anchor of the shortest length; contexts are those of the longest."""
+    """(u0, u1, pos, head, tail, ctx) of each anchor of the shortest length; contexts are those of the longest."""
     short, most = min(lengths), max(lengths)
     window, core = short // 2 - 1, short - (short // 2 - 1)
-    names = ["u0", "u1", "n_bytes", "pos", "head", "tail", "ctx"]
+    names = ["u0", "u1", "pos", "head", "tail", "ctx"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,13 +108,18 @@ def anchor_table(docs: DataFrame, lengths: tuple[int, ...], id_col: str = "doc_i
                     left, right = np.minimum(pos, window), np.minimum(size - pos, most)
                     ctx = mixed(spans.of(at - left, at + right) + mixed((left * (most + 1) + right).astype(np.uint64)))
                     tail = spans.of(at, at + core)
-                    longs = [ids[0][lo + owner], ids[1][lo + owner], size, pos, (head ^ np.uint64(1 << 63)).view(np.int64), tail.view(np.int64), ctx.view(np.int64)]  # heads order as their bytes
+                    longs = [ids[0][lo + owner], ids[1][lo + owner], pos, (head ^ np.uint64(1 << 63)).view(np.int64), tail.view(np.int64), ctx.view(np.int64)]  # heads order as their bytes
                     yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64, copy=False)) for x in longs], names)
 
     byte_batches(docs.sparkSession)
     return _identified(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def _run(suffixes: DataFrame, n: Column) -> DataFrame:
+    """A row for each suffix in its context, with its number and the document and position of one of them (all of one row)."""
+    return suffixes.groupBy("head", "tail", "ctx").agg(n.alias("n"), *[F.first(c).alias(c) for c in ("u0", "u1", "pos")])
+
+
 class IndexFamily:
     """Levels of merged suffix arrays below a path; add() takes a batch in and says which of its keys match.
 
@@ -122,7 +127,7 @@ class IndexFamily:
     that it replaces go, and opening drops what a broken run left over.
     """
 
-    SCHEMA = "head long, tail long, ctx long, n long, first struct<u0:bigint,u1:bigint,n_bytes:bigint,pos:bigint>"
+    SCHEMA = "head long, tail long, ctx long, n long, u0 long, u1 long, pos long"
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
@@ -148,7 +153,7 @@ class IndexFamily:
         return f"{self.path}/level-{level[0]:06}-{level[1]:06}"
 
     def _write(self, runs: DataFrame, level: tuple[int, int]) -> None:
-        runs.select("head", "tail", "ctx", "n", "first").sortWithinPartitions("head", "tail", "ctx").write.parquet(self._name(level))
+        runs.select("head", "tail", "ctx", "n", "u0", "u1", "pos").sortWithinPartitions("head", "tail", "ctx").write.option("compression", "zstd").parquet(self._name(level))
         self.levels.append(level)
 
     def _read(self, level: tuple[int, int]) -> DataFrame:
@@ -159,15 +164,14 @@ class IndexFamily:
         out = self._read(self.levels[0]) if self.levels else self.spark.createDataFrame([], self.SCHEMA)
         for level in self.levels[1:]:
             out = out.unionByName(self._read(level))
-        return out.groupBy("head", "tail", "ctx").agg(F.sum("n").alias("n"), F.min("first").alias("first")) if len(self.levels) > 1 else out
+        return _run(out, F.sum("n")) if len(self.levels) > 1 else out
 
     def _merge(self) -> None:
         """Merge the newest levels while they are of one size."""
         size = lambda x: x[1] - x[0] + 1
         while len(self.levels) > 1 and size(self.levels[-1]) == size(self.levels[-2]):
             b, a = self.levels.pop(), self.levels.pop()
-            runs = self._read(a).unionByName(self._read(b)).groupBy("head", "tail", "ctx").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-            self._write(runs, (a[0], b[1]))
+            self._write(_run(self._read(a).unionByName(self._read(b)), F.sum("n")), (a[0], b[1]))
             dropped(self.spark, self._name(a))
             dropped(self.spark, self._name(b))
 
@@ -176,8 +180,7 @@ class IndexFamily:
         self._merge()
         at = self.levels[-1][1] + 1 if self.levels else 0
         older = list(self.levels)
-        runs = anchors.groupBy("head", "tail", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("u0", "u1", "n_bytes", "pos")).alias("first"))
-        self._write(runs, (at, at))
+        self._write(_run(anchors, F.count(F.lit(1))), (at, at))
         batch = self._read((at, at))
         found = batch.groupBy(*KEY).agg(F.sum("n").alias("n")).filter("n > 1").select(*KEY)
         for level in older:
@@ -217,7 +220,7 @@ def _contexts(rows: DataFrame, open_: DataFrame, lengths: tuple[int, ...]) -> Da
     window, core = short // 2 - 1, short - (short // 2 - 1)
     wanted = open_.groupBy(*DOC).agg(F.collect_list(F.struct("pos", "head", "tail", "many", "classes")).alias("at"))
     wanted = rows.join(wanted, DOC).select("u0", "u1", "text", "at")
-    names = ["u0", "u1", "n_bytes", "pos", "head", "tail", "many", "classes", "left", "right"]
+    names = ["u0", "u1", "pos", "head", "tail", "many", "classes", "left", "right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches, 64):
@@ -228,11 +231,10 @@ def _contexts(rows: DataFrame, open_: DataFrame, lengths: tuple[int, ...]) -> Da
             pos = flat.field("pos").to_numpy()
             left = [texts[d][max(p - window, 0) : p][::-1] for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
             right = [texts[d][p + core : p + most] for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
-            size = np.array([len(t) for t in texts], np.int64)[doc]
             ids = [pa.array(batch.column(i).to_numpy()[doc]) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(size), flat.field("pos"), *[flat.field(c) for c in ("head", "tail", "many", "classes")], pa.array(left, pa.binary()), pa.array(right, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*ids, flat.field("pos"), *[flat.field(c) for c in ("head", "tail", "many", "classes")], pa.array(left, pa.binary()), pa.array(right, pa.binary())], names)
 
-    return wanted.mapInArrow(run, "u0 long, u1 long, n_bytes long, pos long, head long, tail long, many boolean, classes long, left binary, right binary")
+    return wanted.mapInArrow(run, "u0 long, u1 long, pos long, head long, tail long, many boolean, classes long, left binary, right binary")
 
 
 def _padded(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -337,20 +339,19 @@ def _solved(contexts: DataFrame, lengths: tuple[int, ...], group: int) -> DataFr
     return contexts.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _bisected(contexts: DataFrame, length: int, lengths: tuple[int, ...]) -> DataFrame:
-    """What _solved() returns, for one length and keys of any number of contexts.
+def _bisected(contexts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """What _solved() returns, for keys of any number of contexts, in as many rounds as halving by SPLIT takes.
 
     Rounds pass on hashes and context numbers only; the bytes stay in one stored table.
     """
     short = min(lengths)
     window, core = short // 2 - 1, short - (short // 2 - 1)
-    after = length - core
     spark = contexts.sparkSession
     kept: list[str] = []
     contexts = contexts.dropDuplicates(["u0", "u1", "pos"]).withColumn("cid", F.monotonically_increasing_id())
     contexts = written(contexts.select("cid", "u0", "u1", "pos", "head", "tail", "many", "left", "right"), "contexts", kept)
-    nodes = contexts.select("cid", F.array(F.lit(window).cast("int")).alias("ranges"))
-    code = window + 1  # a range d0..d1 of deltas is told as d0 * code + d1
+    code = window + 1  # a range d0..d1 of deltas of the i-th length is told as (i * code + d0) * code + d1
+    nodes = contexts.select("cid", F.array(*[F.lit(i * code * code + window).cast("int") for i in range(len(lengths))]).alias("ranges"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda *x: hashlib.blake2b(b"".join(x), digest_size=16).digest()
@@ -359,7 +360,8 @@ def _bisected(contexts: DataFrame, length: int, lengths: tuple[int, ...]) -> Dat
             for cid, head, tail, left, right, ranges in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 n = len(left)
                 for r in ranges:
-                    d0, d1 = divmod(r, code)
+                    i, d0, d1 = r // (code * code), r // code % code, r % code
+                    after = lengths[i] - core
                     step = -(-(d1 - d0 + 1) // SPLIT)
                     for a in range(d0, d1 + 1, step):
                         b = min(a + step - 1, d1)
@@ -367,9 +369,9 @@ def _bisected(contexts: DataFrame, length: int, lengths: tuple[int, ...]) -> Dat
                             continue
                         most_l, most_r = min(b, n), min(after - a, len(right))
                         out["cid"].append(cid)
-                        out["range"].append(a * code + b)
-                        out["need"].append(digest(b"%d %d %d %d:" % (head, tail, a, b), left[:a], right[: after - b]))
-                        out["full"].append(digest(b"%d %d %d %d %d %d:" % (head, tail, a, b, most_l, most_r), left[:most_l], right[:most_r]))
+                        out["range"].append((i * code + a) * code + b)
+                        out["need"].append(digest(b"%d %d %d %d %d:" % (head, tail, i, a, b), left[:a], right[: after - b]))
+                        out["full"].append(digest(b"%d %d %d %d %d %d %d:" % (head, tail, i, a, b, most_l, most_r), left[:most_l], right[:most_r]))
             kinds = {"cid": pa.int64(), "range": pa.int32(), "need": pa.binary(), "full": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) for c, v in out.items()], list(out))
 
@@ -391,10 +393,14 @@ def _bisected(contexts: DataFrame, length: int, lengths: tuple[int, ...]) -> Dat
         nodes = written(classes.join(needs, "need", "left_semi").groupBy("cid").agg(F.collect_list("range").alias("ranges")), "nodes", kept)
         for path in scratch:
             dropped(spark, path)
-    d0, d1 = F.expr(f"range div {code}"), F.col("range") % code
+    # a context's strings all hold its anchor: what they cover is one run
+    d0, d1, length = F.expr(f"range div {code} % {code}"), F.col("range") % code, F.element_at(F.array(*map(F.lit, lengths)), (F.expr(f"range div {code * code}") + 1).cast("int"))
+    covers = covers.groupBy("cid", length.alias("length")).agg(F.min(d0).alias("d0"), F.max(d1).alias("d1"))
     told = contexts.filter("not many").select("u0", "u1", "pos", F.length("left").alias("l"), F.length("right").alias("r"), "cid").join(covers, "cid")
-    a, b = F.col("pos") - F.least(d1, F.col("l")), F.col("pos") - F.greatest(d0, after - F.col("r")) + length
-    found = told.select("u0", "u1", F.lit(length).cast("long").alias("length"), a.cast("long").alias("a"), b.cast("long").alias("b")).filter(f"b - a >= {length}").distinct()
+    length = F.col("length")
+    after = length - core
+    a, b = F.col("pos") - F.least("d1", "l"), F.col("pos") - F.greatest("d0", after - F.col("r")) + length
+    found = told.select("u0", "u1", length.cast("long").alias("length"), a.cast("long").alias("a"), b.cast("long").alias("b")).filter("b - a >= length").distinct()
     found = written(found, "agreeing")
     for path in kept:
         dropped(spark, path)
@@ -425,6 +431,7 @@ def deduplicated(
     family, matched = IndexFamily(spark), None
     for i in range(batches):
         found = written(family.add(anchors.filter(F.col("batch") == i)), "matched", scratch)
+        released(spark)
         matched = found if matched is None else matched.unionByName(found)
     # sides with a row per key are tables of their own: a join of two plain shuffles is one that Spark can split at hot keys
     keys = written(matched.distinct(), "keys", scratch)
@@ -434,7 +441,7 @@ def deduplicated(
     equal = written(classes.filter("n > 1").select("head", "tail", "ctx"), "equal", scratch)
     later: list[str] = []
     whole = written(anchors.join(equal, ["head", "tail", "ctx"], "left_semi").groupBy(*DOC).agg(F.collect_set("pos").alias("whole")), "whole", later)
-    open_ = classes.join(several, KEY).select("first.u0", "first.u1", "first.pos", "head", "tail", (F.col("n") > 1).alias("many"), "classes")
+    open_ = classes.join(several, KEY).select("u0", "u1", "pos", "head", "tail", (F.col("n") > 1).alias("many"), "classes")
     rows = _identified(docs, id_col, text_col)
     contexts = written(_contexts(rows, open_, lengths), "contexts", later)
     for path in scratch:
@@ -445,8 +452,7 @@ def deduplicated(
     found = written(_solved(small, lengths, group), "agreeing", later)
     large = contexts.filter(F.col("classes") > group)
     if large.limit(1).count():
-        for x in lengths:
-            found = found.unionByName(_bisected(large, x, lengths))
+        found = found.unionByName(_bisected(large, lengths))
     marks = found.groupBy(*DOC).agg(F.collect_set(F.struct("length", "a", "b")).alias("parts"))
     marks = written(marks.join(whole, DOC, "full").select("u0", "u1", "whole", "parts"), "marks")
     for path in later:

@@ -178,13 +178,13 @@ def test_index_levels_grow_geometrically(spark):
     path, sizes = shared_path(spark, "family"), []
     for i in range(5):
         family = suffixes.IndexFamily(spark, path)  # opened again for each batch
-        rows = [(h, h, h, i, h, 9, 0) for h in (100 + i, 1, 2 if i == 3 else 50 + i)]
-        found = family.add(spark.createDataFrame(rows, "head long, tail long, ctx long, u0 long, u1 long, n_bytes long, pos long"))
+        rows = [(h, h, h, i, h, 0) for h in (100 + i, 1, 2 if i == 3 else 50 + i)]
+        found = family.add(spark.createDataFrame(rows, "head long, tail long, ctx long, u0 long, u1 long, pos long"))
         assert sorted(r.head for r in found.distinct().collect()) == ([] if i == 0 else [1])
         sizes.append([b - a + 1 for a, b in family.levels])
     assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1]]
-    whole = {r["head"]: (r["n"], r["first"].u0) for r in suffixes.IndexFamily(spark, path).arrays().collect()}
-    assert whole[1] == (5, 0) and whole[102] == (1, 2) and len(whole) == 11
+    whole = {r.head: (r.n, r.u0, r.u1) for r in suffixes.IndexFamily(spark, path).arrays().collect()}
+    assert whole[1][0] == 5 and whole[1][1] in range(5) and whole[102] == (1, 2, 102) and len(whole) == 11
     (files,) = {f.rpartition("/")[0] for f in family._read(family.levels[0]).inputFiles()}
     assert files.endswith("level-000000-000003")
     family.drop()
