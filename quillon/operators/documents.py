@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import terms
-from quillon.functions.text import keyword_score
+from quillon.functions.text import keyword_score, strip
 from quillon.operators.match import best_of
 
 
@@ -18,8 +18,8 @@ def above_percentile(rows: DataFrame, by: str, column: str, q: float = 0.75) ->
 
 def best_documents(docs: DataFrame, site: str, pages: str, text: str, position: str, words: list[str] | None = None) -> DataFrame:
     """Of each site the candidate above the 75th percentile of pages with the highest keyword score."""
-    long = above_percentile(docs, site, pages)
-    return best_of(long.withColumn("score", keyword_score(F.col(text), words or terms.SCORE_TERMS)), site, "score", position)
+    scored = docs.withColumn("score", keyword_score(F.col(text), words or terms.SCORE_TERMS)).drop(text)  # texts stay behind
+    return best_of(above_percentile(scored, site, pages), site, "score", position)
 
 
 def looks_like_plan(pages: Column, hits: Column, min_pages: int = 10, min_hits: int = 5) -> Column:
@@ -59,6 +59,25 @@ def matched_files(hrefs: DataFrame, name: str) -> DataFrame:
     return hrefs.withColumn("type", kind).filter("type is not null").withColumn("year", year.cast("int")).withColumn("sub_type", sub)
 
 
+def name_errors(files: DataFrame, name: str) -> DataFrame:
+    """files with `error`: null where the name fits an election type's pattern, else what is wrong with it."""
+    fits = F.lit(False)
+    for p in terms.FILE_PATTERNS.values():
+        fits = fits | F.col(name).rlike(p)
+    return files.withColumn("error", F.when(~F.coalesce(fits, F.lit(False)), F.concat(F.lit("unexpected file name: "), F.coalesce(F.col(name), F.lit("none")))))
+
+
+def has_content(text: Column) -> Column:
+    """Whether a document's text holds anything but white space."""
+    return F.coalesce(F.length(strip(text)) > 0, F.lit(False))
+
+
+def candidate_results(rows: DataFrame, key: str, best: str, details: list[str]) -> DataFrame:
+    """(key, url, metadata): the rows with a best document, what else is known of it as a map of strings."""
+    pairs = [x for d in details for x in (F.lit(d), F.col(d).cast("string"))]
+    return rows.filter(F.col(best).isNotNull()).select(key, F.col(best).alias("url"), F.create_map(*pairs).alias("metadata"))
+
+
 def prompt(election_type: Column, filename: Column) -> Column:
     """The question put to a language model about a file."""
     return F.format_string("Name the %s election that the results file %s belongs to.", election_type, filename)

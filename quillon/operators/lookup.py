@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.text import strip
 
-#: Prefix tables up to this many rows are small whatever the data.
-PREFIX_LIMIT = 10_000
+#: Prefixes have so many different lengths at most; codes are short.
+PREFIX_LENGTHS = 64
 
 
 def clean_codes(rows: DataFrame, code: str, name: str, pattern: str, exclude: list[str] | None = None) -> DataFrame:
@@ -38,20 +38,18 @@ def ambiguous_codes(rows: DataFrame, code: str, name: str, position: str) -> Dat
 def longest_prefix(rows: DataFrame, code: str, prefixes: DataFrame, prefix: str, value: str) -> DataFrame:
     """rows with `value` of the longest prefix that starts their code, null where there is none.
 
-    A code has few prefixes, so each row looks its own up by equality, the longest first: one hash
-    join for each length that occurs among the prefixes (checked to be a small reference table).
+    Each distinct code looks its prefixes up by equality, a prefix for each length that occurs; of a
+    prefix listed twice the least value counts, null prefixes and codes match nothing. Spark
+    broadcasts the prefixes where they are small.
     """
-    table = prefixes.select(F.col(prefix).alias("__p"), F.col(value).alias("__v")).limit(PREFIX_LIMIT + 1).collect()
-    if len(table) > PREFIX_LIMIT:
-        raise ValueError("the prefix table is not a small reference table")
-    found: dict[int, list[tuple[str, str]]] = {}
-    for r in table:
-        found.setdefault(len(r["__p"]), []).append((r["__p"], r["__v"]))
-    out: Column = F.lit(None).cast(prefixes.schema[value].dataType)
-    for n in sorted(found):
-        mapped = F.create_map(*[F.lit(x) for pair in dict(found[n]).items() for x in pair])
-        out = F.coalesce(F.try_element_at(mapped, F.substring(F.col(code), 1, n)), out)
-    return rows.withColumn(value, out)
+    table = prefixes.select(F.col(prefix).alias("__p"), F.col(value).alias("__v")).filter("`__p` is not null").groupBy("__p").agg(F.min("__v").alias("__v"))
+    lengths = sorted(r[0] for r in table.select(F.length("__p")).distinct().limit(PREFIX_LENGTHS + 1).collect())  # a row for each length
+    if len(lengths) > PREFIX_LENGTHS:
+        raise ValueError("prefixes of too many lengths")
+    starts = F.array_distinct(F.array(*[F.substring(F.col(code), 1, n) for n in lengths])) if lengths else F.array().cast("array<string>")
+    asked = rows.select(code).filter(F.col(code).isNotNull()).distinct().withColumn("__p", F.explode(starts))
+    best = asked.join(table, "__p").groupBy(code).agg(F.max_by("__v", F.length("__p")).alias(value))
+    return rows.join(best, code, "left").select(*rows.columns, value)
 
 
 def prefix_join(rows: DataFrame, code: str, parents: DataFrame, parent_code: str, length: int = 4) -> DataFrame:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.similarity import indel_ratio, name_ratio
+from quillon.functions.similarity import name_ratio
 from quillon.functions.terms import NAME_ALIASES, REGION_PREFIXES
 from quillon.functions.text import fold, strip
+from quillon.session import stored
 
 
 def resolve(names: DataFrame, name: str, candidates: DataFrame, candidate: str, position: str, threshold: float = 0.9) -> DataFrame:
@@ -39,24 +37,24 @@ def near_pairs(asked: DataFrame, known: DataFrame, threshold: float, low: float)
     """Distinct (n, c, p) that contain all pairs whose indel ratio can reach the threshold.
 
     d = (1 - ratio) * (len n + len c) characters are deleted in all; each spoils two bigrams of its
-    string at most, so with len n - 1 > 2 * (d of n) some bigram of n survives. Names too short
+    string at most, so of the bigrams of n (with repeats) all but 2 * (d of n) are in c too. A bigram that n has k times
+    counts as k bigrams, so what is compared are (bigram, occurrence) pairs. Names too short
     for that (and their candidates) are paired by length.
     """
     budget = lambda s: (1 - threshold) * (F.length(s) + F.length(s) / low)
     safe = lambda s: F.length(s) - 1 > 2 * budget(s)
     lengths = (F.length("c") >= F.length("n") * low) & (F.length("c") * low <= F.length("n"))
-    grams = lambda d, s: d.withColumn("g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: F.substr(F.col(s), i, F.lit(2))))))
-    by_gram = grams(asked.filter(safe("n")), "n").join(grams(known, "c"), "g").filter(lengths).select("n", "c", "p").distinct()
+    pieces = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: F.substr(F.col(s), i, F.lit(2)))
+    nth = lambda a: F.transform(a, lambda g, i: F.concat(g, F.size(F.filter(F.slice(a, 1, i + 1), lambda h: h == g)).cast("string")))
+    grams = lambda d, s: d.withColumn("a", pieces(s)).withColumn("g", F.explode(nth(F.col("a")))).drop("a")
+    shared = grams(asked.filter(safe("n")), "n").join(grams(known, "c"), "g").filter(lengths).groupBy("n", "c").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("k"))
+    least = F.length("n") - 1 - 2 * (1 - threshold) * (F.length("n") + F.length("c"))
+    by_gram = shared.filter(F.col("k") >= least - 1e-9).select("n", "c", "p")
     span = F.sequence(F.ceil(F.length("n") * low).cast("int"), F.floor(F.length("n") / low).cast("int"))
     by_length = asked.filter(~safe("n")).withColumn("l", F.explode(span)).join(known.withColumn("l", F.length("c")), "l").select("n", "c", "p")
     return by_gram.unionByName(by_length)
 
 
-def folded(name: str) -> str:
-    """fold() of one name."""
-    return "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c)).casefold()
-
-
 def with_alias(names: DataFrame, name: str, aliases: dict[str, str] | None = None) -> DataFrame:
     """Names that another source spells differently, in that source's spelling."""
     out = F.col(name)
@@ -81,27 +79,50 @@ def region_hint(names: DataFrame, name: str, ambiguous: DataFrame, ambiguous_nam
 
 
 def greedy_pairs(left: DataFrame, right: DataFrame, block: str, name: str, position: str, threshold: float = 0.9) -> DataFrame:
-    """(block, left_name, right_name): in order of position, each left row takes the best right row that is still free.
+    """(block, left_name, right_name): in order of position, each left row takes the best right name of its block that is still free.
 
-    The order makes a block's decisions depend on each other, so each block (a territory) is one
-    group; blocks are reference data of hundreds of rows.
+    Best is the equal name, else the first one equal when folded, else the one of the highest ratio (ties: the first) if it
+    reaches the threshold. Null names take part in nothing; of equal names on the right the first counts.
+    Rows decide on each other only over pairs that can come about, so each connected group of such pairs
+    is worked off by itself, whatever the size of the block.
     """
+    mine = left.select(F.col(block).alias("b"), F.col(name).alias("n"), F.col(position).alias("lp")).filter("n is not null")
+    free = right.select(F.col(block).alias("b"), F.col(name).alias("c"), F.col(position).alias("rp")).filter("c is not null").groupBy("b", "c").agg(F.min("rp").alias("rp"))
+    low = threshold / (2 - threshold)
+    names = near_pairs(mine.select("n").distinct(), free.select("c").distinct().withColumn("p", F.lit(0)), threshold, low).select("n", "c").distinct()
+    close = names.withColumn("r", name_ratio("n", "c")).filter(F.col("r") >= threshold)
+    pairs = mine.join(close, "n").join(free, ["b", "c"]).select("b", "n", "lp", "c", "rp", "r")
+    alike = mine.withColumn("f", fold(F.col("n"))).join(free.withColumn("f", fold(F.col("c"))), ["b", "f"]).select("b", "n", "lp", "c", "rp", F.when(F.col("n") == F.col("c"), 3.0).otherwise(2.0).alias("r"))
+    pairs = stored(pairs.unionByName(alike).groupBy("b", "n", "lp", "c", "rp").agg(F.max("r").alias("r")))
+    side = lambda kind, *c: F.xxhash64(F.lit(kind), "b", *c)
+    group = linked_groups(pairs.select(side("l", "n", "lp").alias("u"), side("r", "c").alias("v")))
+    told = pairs.withColumn("node", side("l", "n", "lp")).join(group, "node").select("group", "b", "n", "lp", "c", "rp", "r")
+
+    def pair(rows: pd.DataFrame) -> pd.DataFrame:
+        taken, out = set(), []
+        for (_, n), own in rows.sort_values(["lp", "n", "r", "rp"], ascending=[True, True, False, True]).groupby(["lp", "n"], sort=False):
+            for b, c in zip(own["b"], own["c"], strict=True):
+                if c not in taken:
+                    taken.add(c)
+                    out.append((b, n, c))
+                    break
+        return pd.DataFrame(out, columns=["b", "left_name", "right_name"])
 
-    def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        free = dict.fromkeys(b.sort_values(position)[name].dropna())
-        out = []
-        for row in a.sort_values(position).itertuples(index=False):
-            mine = getattr(row, name)
-            alike = [c for c in free if folded(c) == folded(mine)]
-            best = mine if mine in free else alike[0] if alike else max(free, key=lambda c: indel_ratio(mine, c), default=None)
-            if best is not None and (best in alike or indel_ratio(mine, best) >= threshold):
-                del free[best]
-                out.append((getattr(row, block), mine, best))
-        return pd.DataFrame(out, columns=[block, "left_name", "right_name"])
-
-    cols = [block, name, position]
     kind = left.schema[block].dataType.simpleString()
-    return left.select(*cols).groupBy(block).cogroup(right.select(*cols).groupBy(block)).applyInPandas(pair, f"{block} {kind}, left_name string, right_name string")
+    found = told.groupBy("group").applyInPandas(pair, f"b {kind}, left_name string, right_name string")
+    return found.select(F.col("b").alias(block), "left_name", "right_name")
+
+
+def linked_groups(links: DataFrame) -> DataFrame:
+    """(node, group) of the nodes of (u, v) links: the least node that each can reach, passed on until nothing changes."""
+    both = stored(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    group = both.select(F.col("u").alias("node")).distinct().withColumn("group", F.col("node"))
+    while True:
+        near = both.join(group.select(F.col("node").alias("v"), "group"), "v").groupBy("u").agg(F.min("group").alias("g"))
+        after = stored(group.join(near, F.col("node") == F.col("u")).select("node", F.least("group", "g").alias("group"), (F.col("g") < F.col("group")).alias("moved")))
+        group = after.select("node", "group")
+        if not after.filter("moved").limit(1).count():
+            return group
 
 
 def accent_free_matches(words: DataFrame, word: str, known: DataFrame, other: str) -> DataFrame:
@@ -110,8 +131,6 @@ def accent_free_matches(words: DataFrame, word: str, known: DataFrame, other: st
 
 
 def best_of(rows: DataFrame, by: str, score: str, position: str) -> DataFrame:
-    """Of each group the first row of the highest score above 0; groups without one are left out."""
-    w = Window.partitionBy(by).orderBy(F.desc(score), position)
-    return rows.filter(F.col(score) > 0).withColumn("__r", F.row_number().over(w)).filter("`__r` = 1").drop("__r")
-
-
+    """Of each group the first row of the highest score above 0; groups without one are left out. One partial maximum a group."""
+    best = rows.filter(F.col(score) > 0).groupBy(by).agg(F.min_by(F.struct("*"), F.struct((-F.col(score)).alias("s"), F.col(position).alias("p"))).alias("b"))
+    return best.select(*[F.col("b").getField(c).alias(c) for c in rows.columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,3 +63,19 @@ def by_cache(rows: DataFrame, cache: DataFrame, key: str, result: str) -> DataFr
     out = rows.join(c, rows[key] == c["__k"], "left")
     state = F.when(F.col("__k").isNull(), "missing").when(F.col("__v").isNull(), "partial").otherwise("complete")
     return out.withColumn("cache_state", state).drop("__k", "__v")
+
+
+def completed(rows: DataFrame, others: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """rows with the named columns of the record of the same key, where there is one; others has a row per key."""
+    u = others.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+    out = rows.join(u, keys, "left")
+    return out.select(*[F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in rows.columns])
+
+
+def cached_or(rows: DataFrame, cache: DataFrame, keys: list[str], compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Cached rows as they are for the keys of `rows` that have one, computed ones for the others, told apart by `from_cache`.
+
+    `compute` gets the rows that the cache lacks and returns the cache's columns.
+    """
+    hits = cache.join(rows.select(*keys).distinct(), keys, "left_semi").select(*cache.columns).withColumn("from_cache", F.lit(True))
+    return hits.unionByName(compute(pending(rows, cache, keys)).select(*cache.columns).withColumn("from_cache", F.lit(False)))

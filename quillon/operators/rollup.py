@@ -25,6 +25,19 @@ def national_totals(leaf: DataFrame, levels: list[str], measures: list[str]) ->
     return leaf.rollup(*levels).agg(level.cast("int").alias("level"), *sums)
 
 
+def by_leg(leaf: DataFrame, legs: dict[str, tuple[DataFrame, str]], place: str, measures: list[str]) -> DataFrame:
+    """(leg, place, measures): leaf rows refer to one of several territories (a parish, a consulate, a circle), each with its own parents.
+
+    `legs` gives for each leg its parents and their key, which leaf has too, null in other legs' rows. Sums by key come before each join.
+    """
+    out = None
+    for leg, (parents, key) in legs.items():
+        own = leaf.filter(F.col(key).isNotNull())
+        one = roll_up(own.select(key, *measures), parents.select(key, place), key, [place], measures).select(F.lit(leg).alias("leg"), place, *measures)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def dhondt(votes: DataFrame, circle: str, choice: str, count: str, seats: int) -> DataFrame:
     """Seats by highest quotients votes/1, votes/2, ...; ties go to more votes, then to the choice's name.
 

@@ -58,6 +58,16 @@ def require_count(rows: DataFrame, n: int) -> DataFrame:
     return rows
 
 
+def require_fields(rows: DataFrame, field: str, expected: list[str] | None = None) -> DataFrame:
+    """rows, or an error that names the expected fields that none of them has."""
+    wanted = sorted(set(terms.LINK_FIELDS.values()) if expected is None else expected)
+    found = {r[0] for r in rows.filter(F.col(field).isin(wanted)).select(field).distinct().collect()}  # a row per expected field
+    missing = [f for f in wanted if f not in found]
+    if missing:
+        raise ValueError(f"missing fields: {missing}")
+    return rows
+
+
 def normalized_columns(rows: DataFrame) -> DataFrame:
     """Column names trimmed, in lower case, inner white space as one space."""
     return rows.toDF(*[" ".join(c.lower().split()) for c in rows.columns])

@@ -39,10 +39,10 @@ def query(name: str, sql: str | None = None):
     """,
 )
 def rollup_city(spark, sf_dir):
-    leaf = table(spark, sf_dir, "orders").select("o_custkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("votes"))
+    leaf = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("votes"), F.count(F.lit(1)).alias("n"))
     parish = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("city_id"))
     city = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city"))
-    return rollup.roll_up(leaf.join(parish, "o_custkey"), city, "city_id", ["city_id", "city"], ["votes"], count="n_results")
+    return rollup.roll_up(leaf.join(parish, "o_custkey"), city, "city_id", ["city_id", "city"], ["votes", "n"]).withColumnRenamed("n", "n_results")
 
 
 # --- roll-ups ---------------------------------------------------------------------------------
@@ -55,8 +55,8 @@ def _cents(column):
 
 
 def _leaf(spark, sf_dir):
-    """Leaf results: votes by parish (customer) with its city (nation)."""
-    leaf = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", _cents("o_totalprice").alias("votes"))
+    """Leaf results: votes and results by parish (customer), summed before the join, with its city (nation)."""
+    leaf = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(_cents("o_totalprice")).alias("votes"), F.count(F.lit(1)).alias("n_results"))
     parish = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("city_id"), "c_mktsegment")
     return leaf.join(parish, "o_custkey")
 
@@ -72,7 +72,7 @@ def _leaf(spark, sf_dir):
 def rollup_district(spark, sf_dir):
     district = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_regionkey").alias("district_id"), F.col("r_name").alias("district"))
     city = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("city_id"), "n_regionkey").join(district, "n_regionkey")
-    return rollup.roll_up(_leaf(spark, sf_dir), city, "city_id", ["district_id", "district"], ["votes"], count="n_results")
+    return rollup.roll_up(_leaf(spark, sf_dir), city, "city_id", ["district_id", "district"], ["votes", "n_results"])
 
 
 @query(
@@ -89,7 +89,9 @@ def rollup_choice_votes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parish = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     city = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    leaf = votes.join(choice, "p_partkey").join(orders, "o_orderkey").join(parish, "o_custkey")
+    # votes of an order by choice, then of a parish by choice, before the next join
+    ballot = votes.groupBy("o_orderkey", "p_partkey").agg(F.sum("votes").alias("votes")).join(choice, "p_partkey").groupBy("o_orderkey", "choice").agg(F.sum("votes").alias("votes"))
+    leaf = ballot.join(orders, "o_orderkey").groupBy("o_custkey", "choice").agg(F.sum("votes").alias("votes")).join(parish, "o_custkey")
     return leaf.groupBy("n_nationkey", "choice").agg(F.sum("votes").alias("votes")).join(city, "n_nationkey").select("city", "choice", "votes")
 
 
@@ -122,7 +124,7 @@ def national_totals(spark, sf_dir):
     """,
 )
 def dhondt_seats(spark, sf_dir):
-    votes = _leaf(spark, sf_dir).groupBy(F.col("city_id").alias("circle"), F.col("c_mktsegment").alias("choice")).agg(F.count(F.lit(1)).alias("votes"))
+    votes = _leaf(spark, sf_dir).groupBy(F.col("city_id").alias("circle"), F.col("c_mktsegment").alias("choice")).agg(F.sum("n_results").alias("votes"))
     return rollup.dhondt(votes, "circle", "choice", "votes", 10)
 
 
@@ -281,7 +283,25 @@ def accent_fold_match(spark, sf_dir):
     return words.groupBy("folded").agg(F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("n"))
 
 
-@query("greedy_match")
+@query(
+    "greedy_match",
+    """
+    WITH RECURSIVE l AS (SELECT n_regionkey AS d, n_name AS n, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i FROM nation),
+    r AS (SELECT n_regionkey AS d, CASE WHEN n_nationkey % 3 = 0 THEN n_name || 's' ELSE n_name END AS c, n_nationkey AS p FROM nation WHERE n_nationkey % 4 <> 1),
+    -- names of this length reach 0.9 only if one is the other with a character more
+    cand AS (SELECT l.d, i, c, p, CASE WHEN c = n THEN 3.0 WHEN lower(c) = lower(n) THEN 2.0
+             WHEN abs(length(c) - length(n)) = 1 AND len(list_filter(range(1, greatest(length(c), length(n)) + 1), lambda k:
+                  CASE WHEN length(c) > length(n) THEN c[:k - 1] || c[k + 1:] = n ELSE n[:k - 1] || n[k + 1:] = c END)) > 0
+             THEN 2.0 * least(length(c), length(n)) / (length(c) + length(n)) END AS r FROM l JOIN r ON l.d = r.d),
+    alike AS (SELECT l.d, l.i, l.n, (SELECT list(c ORDER BY r DESC, p) FROM cand WHERE cand.d = l.d AND cand.i = l.i AND r >= 0.9) AS c FROM l),
+    s(d, i, n, best, taken) AS (
+        SELECT DISTINCT d, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST([] AS VARCHAR[]) FROM l
+        UNION ALL
+        SELECT d, i, n, best, CASE WHEN best IS NULL THEN taken ELSE list_append(taken, best) END FROM (
+            SELECT a.d, a.i, a.n, s.taken, list_filter(a.c, lambda x: NOT list_contains(s.taken, x))[1] AS best FROM s JOIN alike a ON a.d = s.d AND a.i = s.i + 1))
+    SELECT d AS district, n AS left_name, best AS right_name FROM s WHERE best IS NOT NULL
+    """,
+)
 def greedy_match(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("district"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("pos"))
     other = n.withColumn("name", F.when(F.col("pos") % 3 == 0, F.concat("name", F.lit("s"))).otherwise(F.col("name"))).filter("pos % 4 != 1")
@@ -656,12 +676,36 @@ def _calls(spark, sf_dir):
     return table(spark, sf_dir, "events").select("user_id", "event_id", ts)
 
 
-@query("quota_guard")
+_IN_LINE = """c AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)"""
+
+
+@query(
+    "quota_guard",
+    f"""
+    WITH RECURSIVE {_IN_LINE}, s(user_id, event_id, i, accepted, held) AS (
+        SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BOOLEAN), CAST([] AS DOUBLE[]) FROM c
+        UNION ALL
+        SELECT user_id, event_id, i, len(h) < 19, CASE WHEN len(h) < 19 THEN list_append(h, t) ELSE h END FROM (
+            SELECT c.user_id, c.event_id, c.i, c.t, list_filter(s.held, lambda x: x > c.t - 86400) AS h FROM s JOIN c ON c.user_id = s.user_id AND c.i = s.i + 1))
+    SELECT user_id, event_id, accepted FROM s WHERE i > 0
+    """,
+)
 def quota_guard(spark, sf_dir):
     return stateful.quota(_calls(spark, sf_dir), "user_id", "t", "event_id")
 
 
-@query("rate_limit")
+@query(
+    "rate_limit",
+    f"""
+    WITH RECURSIVE {_IN_LINE}, s(user_id, event_id, i, starts_at, started) AS (
+        SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST([] AS DOUBLE[]) FROM c
+        UNION ALL
+        SELECT user_id, event_id, i, go, list_append(CASE WHEN len(started) = 4 THEN started[2:] ELSE started END, go) FROM (
+            SELECT c.user_id, c.event_id, c.i, s.started, greatest(coalesce(s.starts_at, c.t), c.t, CASE WHEN len(s.started) = 4 THEN s.started[1] + 60 ELSE c.t END) AS go
+            FROM s JOIN c ON c.user_id = s.user_id AND c.i = s.i + 1))
+    SELECT user_id, event_id, starts_at FROM s WHERE i > 0
+    """,
+)
 def rate_limit(spark, sf_dir):
     return stateful.rate_limit(_calls(spark, sf_dir), "user_id", "t", "event_id")
 

@@ -40,6 +40,7 @@ def cities(town_halls: DataFrame, assemblies: DataFrame, sheet: DataFrame) -> Da
 
     A name with a hint in parentheses is looked up among the ambiguous names, others among the unique ones (aliases first).
     """
+    # one block: pairs that can come about are found by joins, not by comparing the block's rows
     one = lambda df: df.select(F.lit(1).alias("b"), F.col("municipality").alias("name"), "pos")
     pairs = match.greedy_pairs(one(town_halls), one(assemblies), "b", "name", "pos")
     both = pairs.join(town_halls.select(F.col("municipality").alias("left_name"), "email", "website", F.col("president").alias("mayor")), "left_name")
@@ -112,18 +113,44 @@ def plan_documents(city: DataFrame, done: DataFrame, page: DataFrame, contents:
 # --- election files -------------------------------------------------------------------------------
 
 
-def election_files(index: DataFrame, listing: DataFrame, base: str) -> DataFrame:
+def election_files(index: DataFrame, listing: DataFrame, base: str, complete: bool = False) -> DataFrame:
     """(type, sub_type, year, url, filename, field) of the result files behind the index page's links.
 
-    index (page_id, html), listing (url, html): the pages that the index links to.
+    index (page_id, html), listing (url, html): the pages that the index links to. With `complete`, an index without one of the five links is an error.
     """
     link = pages.anchors(index).withColumn("k", F.lit(1))
-    fields = pages.fields(link, "k", "href", "pos").withColumn("url", U.join(F.lit(base), F.col("url"))).select("field", "url")
+    fields = pages.fields(link, "k", "href", "pos")
+    fields = (validate.require_fields(fields, "field") if complete else fields).withColumn("url", U.join(F.lit(base), F.col("url"))).select("field", "url")
     files = pages.anchors(listing.join(F.broadcast(fields), "url"))  # a row for each of five fields
-    files = files.filter(F.lower("href").rlike(r"\.xlsx?$")).withColumn("filename", F.coalesce(F.try_url_decode(U.basename(F.col("href"))), U.basename(F.col("href"))))
+    files = result_files(files)
     return documents.matched_files(files, "filename").select("type", "sub_type", "year", U.join(F.col("url"), F.col("href")).alias("url"), "filename", "field")
 
 
+def result_files(links: DataFrame, href: str = "href") -> DataFrame:
+    """Links to sheets, with their file name; documents.name_errors() tells those of unexpected names."""
+    name = U.basename(F.col(href))
+    return links.filter(F.lower(U.part(F.col(href), "path")).rlike(r"\.xlsx?$")).withColumn("filename", F.coalesce(F.try_url_decode(name), name))
+
+
+def city_rows(sheet: DataFrame, fields: list[str], website: str) -> DataFrame:
+    """A sheet's rows with `city`: the fields as strings, an address that starts with www. as an https URL."""
+    told = [(U.with_scheme(F.col(c)) if c == website else F.col(c).cast("string")).alias(c) for c in fields]
+    return sheet.withColumn("city", F.struct(*told))
+
+
+def reentered(rows: DataFrame, cache: DataFrame, key: str, candidates: str, best: str, crawl: Callable[[DataFrame], DataFrame], pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(key, best, origin): complete cache rows as they are, cached candidates filtered, all others crawled and filtered.
+
+    crawl(rows) gives (key, candidates), pick(rows) gives (key, best); each sees only what it has to work on.
+    """
+    state = stored(merge.by_cache(rows, cache, key, best).select(key, "cache_state").distinct())
+    having = lambda s: state.filter(F.col("cache_state") == s).select(key)
+    cached = cache.filter(F.col(best).isNotNull()).join(having("complete"), key, "left_semi").select(key, best)
+    kept = cache.filter(F.col(candidates).isNotNull()).join(having("partial"), key, "left_semi").select(key, candidates)
+    fresh = crawl(having("missing")).select(key, candidates)
+    return dedup.tagged_union({"cached": cached, "filtered": pick(kept).select(key, best), "crawled": pick(fresh).select(key, best)})
+
+
 def structured(files: DataFrame, metadata: DataFrame) -> DataFrame:
     """Files with their name and round, joined by file name; rounds of presidential elections only. Rows that break a rule are marked."""
     out = validate.rounds(files.join(metadata.select("filename", "name", "round"), "filename", "left"))
@@ -140,13 +167,33 @@ def metadata(files: DataFrame, ask: Callable[[DataFrame], DataFrame]) -> DataFra
 
 
 def regulation_rows(page: DataFrame, city: DataFrame) -> DataFrame:
-    """(section, city_id, year, name, is_complete, dre_url) of a regulation page, its municipalities resolved to cities; unmatched ones are left out."""
+    """(section, city_id, year, name, is_complete, dre_url) of a regulation page, its municipalities resolved to cities; unmatched_regulations() has the others."""
     found = pages.regulations(page, "page_id")
     named = match.resolve(found, "municipality", city.select("name", "city_id"), "name", "city_id")
     out = named.join(city.select(F.col("name").alias("matched"), "city_id"), "matched")
     return out.select("section", "city_id", T.year_of(F.col("name")).alias("year"), "name", T.is_complete(F.col("name")).alias("is_complete"), "dre_url", "page_id", "pos")
 
 
+def regulation_counters(found: DataFrame, old: DataFrame) -> DataFrame:
+    """One row of counts: found, matched to a city, unmatched, skipped (no year) and persisted (new pairs of city and URL).
+
+    found has city_id (null: unmatched), year and dre_url.
+    """
+    new = found.filter("city_id is not null and year is not null").select("city_id", "dre_url").distinct().join(old.select("city_id", "dre_url"), ["city_id", "dre_url"], "left_anti")
+    counts = found.agg(
+        F.count(F.lit(1)).alias("found"), F.count_if(F.col("city_id").isNotNull()).alias("matched"), F.count_if(F.col("city_id").isNull()).alias("unmatched"),
+        F.count_if(F.col("city_id").isNotNull() & F.col("year").isNull()).alias("skipped"),
+    )
+    one = new.agg(F.count(F.lit(1)).alias("persisted"))
+    return counts.withColumn("k", F.lit(1)).join(one.withColumn("k", F.lit(1)), "k").drop("k")  # two single rows
+
+
+def unmatched_regulations(page: DataFrame, city: DataFrame) -> DataFrame:
+    """(municipality, pos): rows of a regulation page whose municipality is no known city."""
+    named = match.resolve(pages.regulations(page, "page_id"), "municipality", city.select("name", "city_id"), "name", "city_id")
+    return named.filter("matched is null").select("municipality", "page_id", "pos")
+
+
 def stored_regulations(old: DataFrame, found: DataFrame) -> DataFrame:
     """old and the found rows with a year whose (city, url) is new, the first on the page of equal ones."""
     new = found.filter("year is not null").withColumn("pdf_url", F.lit(None).cast("string"))
@@ -156,7 +203,8 @@ def stored_regulations(old: DataFrame, found: DataFrame) -> DataFrame:
 def pending_pdfs(tables: dict[str, DataFrame], size: int = 8) -> DataFrame:
     """Rows of all tables without a PDF, numbered into batches of `size` for the resolver inside each table."""
     rows = dedup.tagged_union({k: v.filter("pdf_url is null").select("city_id", "dre_url") for k, v in tables.items()}, "table")
-    w = Window.partitionBy("table", F.pmod(F.xxhash64("dre_url"), F.lit(64))).orderBy("city_id", "dre_url")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("dre_url"), F.lit(64)).cast("int"))
+    w = Window.partitionBy("table", "part").orderBy("city_id", "dre_url")
     return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a local one only on a local master."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: executors need a folder that they share")
+        root = f"file://{tempfile.mkdtemp(prefix='quillon-')}"
+        spark.sparkContext.setCheckpointDir(root)
+    return root if ":" in root else f"file://{root}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The rows of df, computed once and kept in the checkpoint folder (spark.checkpoint.dir; a local one where it is unset, as in tests)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='quillon-')}")
+    """The rows of df, computed once and kept in the shared folder."""
+    root = shared_root(df.sparkSession)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 REFERENCE = "name string, ine_prefix string"
@@ -17,16 +16,13 @@ def reference(spark: SparkSession, path: str, schema: str = REFERENCE) -> DataFr
 
 
 def sheet(spark: SparkSession, path: str, schema: str, header_rows: int = 1) -> DataFrame:
-    """A sheet saved as CSV with header_rows rows before the data; an explicit schema keeps leading zeros of codes.
+    """Sheets saved as CSV with header_rows rows before the data; an explicit schema keeps leading zeros of codes.
 
-    The rows before the header are dropped in each file by their line number in it.
+    A sheet is a file of some thousand rows, so it is read whole and its lines are counted; a path may hold many sheets. Rows are lines.
     """
-    fields = T._parse_datatype_string(schema)
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    first = lines.groupBy("f").agg(F.min("i").alias("i0"))
-    body = lines.join(first, "f").filter(F.col("i") - F.col("i0") >= header_rows)
-    parsed = body.select(F.from_csv("value", schema).alias("r"))
-    return parsed.select(*[F.col(f"r.`{f.name}`") for f in fields])
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("i", "value"))
+    parsed = lines.filter((F.col("i") >= header_rows) & (F.col("value") != "")).select(F.from_csv("value", schema).alias("r"))
+    return parsed.select("r.*")
 
 
 def cache_list(spark: SparkSession, path: str, schema: str) -> DataFrame:

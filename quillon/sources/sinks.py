@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +25,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(rows: DataFrame, root: str, config: str) -> str:
-    """Replace a dataset's table; readers see the old files or the new ones, by Spark's commit."""
+    """Replace a dataset's table: the new files are complete before the old ones go, and a failed job leaves the old ones."""
     path = f"{root.rstrip('/')}/{config}"
-    rows.write.mode("overwrite").parquet(path)
+    replace(rows, path)
     return path
 
 
@@ -37,17 +40,27 @@ def ensure(spark: SparkSession, path: str, schema: str) -> None:
 def replace(rows: DataFrame, path: str) -> None:
     """Write beside the table, then swap: rows may be made from the table itself. A failed job leaves the table as it was."""
     spark = rows.sparkSession
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    new = f"{path}.new-{uuid.uuid4().hex}"
     rows.write.parquet(new)
+    _swapped(spark, new, path)
+
+
+def _swapped(spark: SparkSession, new: str, path: str) -> None:
+    """Put a complete table in another one's place by renames; if the second fails, the old table goes back."""
     target, fs = _fs(spark, path)
-    if fs.exists(target):
-        fs.rename(target, _fs(spark, old)[0])
-    fs.rename(_fs(spark, new)[0], target)
-    fs.delete(_fs(spark, old)[0], True)
+    fresh, old = _fs(spark, new)[0], _fs(spark, f"{path}.old-{uuid.uuid4().hex}")[0]
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} can't be moved")
+    if not fs.rename(fresh, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{path} can't be replaced")
+    fs.delete(old, True)
 
 
-def load(new: DataFrame, path: str, keys: list[str], order: str | None = None, update: bool = True) -> int:
-    """Upsert (or insert where absent) into a stored table; returns the rows that are new in it.
+def load(new: DataFrame, path: str, keys: list[str], order: str | None = None, update: bool = True, count: bool = True) -> int | None:
+    """Upsert (or insert where absent) into a stored table; returns the rows that are new in it, if they are to be counted.
 
     Loading the same rows again changes nothing.
     """
@@ -56,17 +69,43 @@ def load(new: DataFrame, path: str, keys: list[str], order: str | None = None, u
         new = merge.newest(new, keys, order)
     if not exists(spark, path):
         new.write.parquet(path)
-        return spark.read.parquet(path).count()
+        return spark.read.parquet(path).count() if count else None
     old = spark.read.parquet(path)
-    before = old.count()
+    before = old.count() if count else 0
     replace(merge.upsert(old, new, keys) if update else merge.insert_if_absent(old, new, keys, order), path)
-    return spark.read.parquet(path).count() - before
+    return spark.read.parquet(path).count() - before if count else None
 
 
-def upload(files: DataFrame, root: str, kind: str = "type", name: str = "filename") -> DataFrame:
-    """Write raw files partitioned by type in one commit, all or none; the rows with the URL each file has then."""
-    files.write.partitionBy(kind).mode("append").parquet(f"{root.rstrip('/')}/raw")
-    return files.withColumn("raw_file_url", F.concat_ws("/", F.lit(f"{root.rstrip('/')}/raw"), F.col(kind), F.col(name)))
+def upload(files: DataFrame, root: str, kind: str = "type", name: str = "filename", content: str = "content") -> DataFrame:
+    """Write each row's bytes as a file raw/<type>/<filename>; the rows, without the bytes, with the URL that the file has then.
+
+    Tasks write below a folder of the attempt; once all are written, that folder becomes raw/<upload>, by one rename: all or none.
+    """
+    spark = files.sparkSession
+    base, fresh = root.rstrip("/"), uuid.uuid4().hex
+    staged = f"{base}/.raw-{fresh}"
+    columns = [c for c in files.columns if c != content]
+    path = F.concat_ws("/", F.col(kind), F.col(name))
+    if files.groupBy(path).count().filter("count > 1").limit(1).count():
+        raise ValueError("two files of one type have the same name")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                system, at = pyarrow.fs.FileSystem.from_uri(f"{staged}/{place}" if ":" in staged else f"file://{staged}/{place}")
+                system.create_dir(at.rpartition("/")[0])
+                own = f"{at}.{uuid.uuid4().hex}"  # an attempt's own file until it is whole
+                with system.open_output_stream(own) as out:
+                    out.write(data.as_py() or b"")
+                system.move(own, at)
+            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
+
+    files.select(path.alias("path"), F.col(content).cast("binary").alias("content")).mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+    target, fs = _fs(spark, f"{base}/raw/{fresh}")
+    fs.mkdirs(_fs(spark, f"{base}/raw")[0])
+    if fs.exists(_fs(spark, staged)[0]):
+        fs.rename(_fs(spark, staged)[0], target)
+    return files.select(*columns).withColumn("raw_file_url", F.concat_ws("/", F.lit(f"{base}/raw/{fresh}"), F.col(kind), F.col(name)))
 
 
 def by_place(files: DataFrame, root: str, place: str) -> None:
@@ -83,6 +122,4 @@ def write_cache(rows: DataFrame, path: str, key: str) -> None:
     spark = rows.sparkSession
     new = f"{path}.new-{uuid.uuid4().hex}"
     rows.repartitionByRange(key).sortWithinPartitions(key).write.json(new)
-    target, fs = _fs(spark, path)
-    fs.delete(target, True)
-    fs.rename(_fs(spark, new)[0], target)
+    _swapped(spark, new, path)

@@ -20,7 +20,7 @@ def load_stream(rows: DataFrame, path: str, keys: list[str], checkpoint: str, or
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        sinks.load(batch, path, keys, order, update)
+        sinks.load(batch, path, keys, order, update, count=False)
 
     return rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

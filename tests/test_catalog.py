@@ -3,7 +3,7 @@ import math
 import duckdb
 import pytest
 
-from quillon.plans import catalog
+from quillon.plans import catalog, catalog_io, catalog_rules  # noqa: F401  the latter two register their queries
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

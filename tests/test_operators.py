@@ -176,3 +176,30 @@ def test_empty_tables(spark):
     assert lookup.codes_by_name(none.withColumnRenamed("n", "name").withColumn("code", F.lit("1")), "code", "name", "p").count() == 0
     assert dedup.first_seen(none, ["k"], "p").count() == 0
     assert pages.anchors(none.withColumn("html", F.lit(""))).count() == 0
+
+
+def test_null_names_and_prefixes_match_nothing(spark):
+    left = spark.createDataFrame([(1, "Lisboa", 0), (1, None, 1), (1, "Évora", 2), (2, "Faro", 3)], "b int, `a name` string, p int")
+    right = spark.createDataFrame([(1, "Evora", 0), (1, None, 1), (1, "Lisboas", 2), (2, None, 3)], "b int, `a name` string, p int")
+    assert sorted(tuple(r) for r in match.greedy_pairs(left, right, "b", "a name", "p").collect()) == [(1, "Lisboa", "Lisboas"), (1, "Évora", "Evora")]
+    rows = spark.createDataFrame([("1234",), (None,), ("99",), ("1234",)], "code string")
+    refs = spark.createDataFrame([("12", "a"), (None, "n"), ("123", "c"), ("123", "b")], "p string, v string")
+    assert sorted(str(r.v) for r in lookup.longest_prefix(rows, "code", refs, "p", "v").collect()) == ["None", "None", "b", "b"]
+
+
+def test_greedy_pairs_equal_a_walk(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abc") for _ in range(rng.randint(9, 12))) for _ in range(25)]
+    spoiled = [n[:i] + rng.choice("abc") + n[i:] if rng.random() < 0.6 else n for n in names for i in [rng.randint(0, len(n))]] + names[:4]
+    left = [(0, n, i) for i, n in enumerate(names)]
+    right = [(0, n, i) for i, n in enumerate(rng.sample(spoiled, len(spoiled)))]
+    free, want = dict.fromkeys(n for _, n, _ in right), []
+    for _, n, _ in left:
+        best = n if n in free else max(free, key=lambda c: indel_ratio(n, c), default=None)
+        if best is not None and indel_ratio(n, best) >= 0.9:
+            del free[best]
+            want.append((0, n, best))
+    schema = "b int, name string, p int"
+    got = match.greedy_pairs(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "b", "name", "p")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+

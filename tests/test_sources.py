@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quillon.sources import readers, sinks
@@ -36,8 +38,12 @@ def test_published_and_uploaded(spark, tmp_path):
     sinks.publish(rows, str(tmp_path), "elections")
     sinks.publish(rows, str(tmp_path), "elections")
     assert readers.dataset(spark, str(tmp_path), "elections").count() == 2
-    urls = sorted(r.raw_file_url for r in sinks.upload(rows, str(tmp_path)).collect())
-    assert urls == [f"{tmp_path}/raw/european/f1", f"{tmp_path}/raw/regional/f2"]
+    files = rows.withColumn("content", F.concat(F.lit("bytes of "), F.col("filename")))
+    urls = sorted((r.raw_file_url, r.n) for r in sinks.upload(files, str(tmp_path)).collect())
+    for (url, n), name in zip(urls, ("european/f1", "regional/f2"), strict=True):
+        assert url.startswith(f"{tmp_path}/raw/") and url.endswith(name) and open(url).read() == f"bytes of f{n}"
+    with pytest.raises(ValueError):
+        sinks.upload(files.unionByName(files), str(tmp_path))
     sinks.write_cache(rows, str(tmp_path / "cache"), "filename")
     sinks.write_cache(rows, str(tmp_path / "cache"), "filename")
     assert spark.read.json(str(tmp_path / "cache")).count() == 2
