@@ -63,13 +63,15 @@ def packed(
     """id_col, n_tokens, bucket, bucket_tokens, batch, slot and padding of each row.
 
     n_tokens is `tokens` or the words of the text (null: 0). A batch of a bucket holds
-    budget // bucket_tokens rows, one at least: a longer document fills a batch on its own. Only
+    budget // bucket_tokens rows, one at least: a longer document fills a batch on its own. Lengths over EXACT share
+    a bin with others within 1/STEPS, so the sum of padded lengths is within 1/STEPS of the least there is. Only
     the last batch of a bucket may be short. Rows of no tokens go to the shortest bucket; equal
     rows have a slot each. Extra columns of docs are read only if in `keep`.
     """
     rows = docs.select(*dict.fromkeys([id_col, *keep]), F.coalesce(n_words(F.col(text_col)) if tokens is None else tokens.cast("long"), F.lit(0).cast("long")).alias("n_tokens"), F.xxhash64(text_col).alias("__x"))
-    bins = rows.groupBy(length_class(F.col("n_tokens")).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()  # EXACT + STEPS * 53 rows at most
-    upper = boundaries([(r["c"], r["n"]) for r in bins], buckets)
+    bins = rows.groupBy(length_class(F.col("n_tokens")).alias("c")).agg(F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("longest")).collect()  # EXACT + STEPS * 53 rows at most
+    # a bin ends at the longest length that it really has
+    upper = boundaries([(max(r["longest"], 1), r["n"]) for r in bins], buckets)
     bucket, limit = F.lit(None).cast("int"), F.lit(None).cast("long")
     for k, u in reversed(list(enumerate(upper))):
         inside = F.col("n_tokens") <= u

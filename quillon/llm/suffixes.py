@@ -8,11 +8,10 @@ depends on the windows' bytes alone, so every repeated string holds an anchor, w
 CORE bytes, at the same place in all its copies. A suffix's key is its first 8 bytes and a hash
 of its CORE bytes; its context is what any repeated string around the anchor can hold.
 
-1. Each batch of documents gets a suffix array: a row for each distinct suffix in its context,
-   with how often it occurs and its first position, in the order of the keys within shards.
-   It is merged with the existing levels where both have a key. Before the next batch comes, levels that
-   cover equally many batches are merged, so there are log2(batches) levels; a family can be
-   left and opened again.
+1. Each batch of documents gets a suffix array: the documents and positions of its suffixes in the
+   order of their keys, over all its files. It is merge-joined with the existing levels for keys
+   that both have. Before the next batch comes, levels that cover equally many batches are merged
+   into one array, so there are log2(batches) levels; a family can be left and opened again.
 2. Equal contexts cover all of them. Where a key has different contexts, their bytes are cut
    from the texts and brought together by key. Sorted by the bytes to the right of the core,
    and by those to the left, neighbours' common lengths tell which contexts agree on how much:
@@ -115,11 +114,6 @@ def anchor_table(docs: DataFrame, lengths: tuple[int, ...], id_col: str = "doc_i
     return _identified(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _run(suffixes: DataFrame, n: Column) -> DataFrame:
-    """A row for each suffix in its context, with its number and the document and position of one of them (all of one row)."""
-    return suffixes.groupBy("head", "tail", "ctx").agg(n.alias("n"), *[F.first(c).alias(c) for c in ("u0", "u1", "pos")])
-
-
 class IndexFamily:
     """Levels of merged suffix arrays below a path; add() takes a batch in and says which of its keys match.
 
@@ -127,7 +121,8 @@ class IndexFamily:
     that it replaces go, and opening drops what a broken run left over.
     """
 
-    SCHEMA = "head long, tail long, ctx long, n long, u0 long, u1 long, pos long"
+    COLUMNS = ("head", "tail", "ctx", "u0", "u1", "pos")
+    SCHEMA = ", ".join(f"{c} long" for c in COLUMNS)
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
@@ -152,39 +147,41 @@ class IndexFamily:
     def _name(self, level: tuple[int, int]) -> str:
         return f"{self.path}/level-{level[0]:06}-{level[1]:06}"
 
-    def _write(self, runs: DataFrame, level: tuple[int, int]) -> None:
-        runs.select("head", "tail", "ctx", "n", "u0", "u1", "pos").sortWithinPartitions("head", "tail", "ctx").write.option("compression", "zstd").parquet(self._name(level))
+    def _write(self, suffixes: DataFrame, level: tuple[int, int]) -> None:
+        # a range holds rows of one suffix apart by document, so a suffix that very many share is no task of its own
+        ordered = suffixes.select(*self.COLUMNS).repartitionByRange("head", "tail", "ctx", "u0").sortWithinPartitions("head", "tail", "ctx", "u0", "u1", "pos")
+        ordered.write.option("compression", "zstd").parquet(self._name(level))
         self.levels.append(level)
 
     def _read(self, level: tuple[int, int]) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(self._name(level))
 
     def arrays(self) -> DataFrame:
-        """All levels as one array: a row for each suffix in its context."""
+        """The rows of all levels."""
         out = self._read(self.levels[0]) if self.levels else self.spark.createDataFrame([], self.SCHEMA)
         for level in self.levels[1:]:
             out = out.unionByName(self._read(level))
-        return _run(out, F.sum("n")) if len(self.levels) > 1 else out
+        return out
 
     def _merge(self) -> None:
         """Merge the newest levels while they are of one size."""
         size = lambda x: x[1] - x[0] + 1
         while len(self.levels) > 1 and size(self.levels[-1]) == size(self.levels[-2]):
             b, a = self.levels.pop(), self.levels.pop()
-            self._write(_run(self._read(a).unionByName(self._read(b)), F.sum("n")), (a[0], b[1]))
+            self._write(self._read(a).unionByName(self._read(b)), (a[0], b[1]))
             dropped(self.spark, self._name(a))
             dropped(self.spark, self._name(b))
 
-    def add(self, anchors: DataFrame) -> DataFrame:
+    def add(self, suffixes: DataFrame) -> DataFrame:
         """(head, tail) of the batch's keys that occur twice or more in it, or in a level too; keys may repeat."""
         self._merge()
         at = self.levels[-1][1] + 1 if self.levels else 0
         older = list(self.levels)
-        self._write(_run(anchors, F.count(F.lit(1))), (at, at))
-        batch = self._read((at, at))
-        found = batch.groupBy(*KEY).agg(F.sum("n").alias("n")).filter("n > 1").select(*KEY)
+        self._write(suffixes, (at, at))
+        batch = self._read((at, at)).select(*KEY)
+        found = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*KEY)
         for level in older:
-            found = found.unionByName(batch.select(*KEY).join(self._read(level).select(*KEY), KEY, "left_semi"))
+            found = found.unionByName(batch.join(self._read(level).select(*KEY), KEY, "left_semi"))
         return found
 
     def drop(self) -> None:
@@ -426,21 +423,29 @@ def deduplicated(
         raise ValueError("lengths must be 32 at least")
     spark = docs.sparkSession
     scratch: list[str] = []
+    staged = shared_path(spark, "anchors")
     anchors = anchor_table(docs, lengths, id_col, text_col).withColumn("batch", F.pmod("u0", F.lit(batches)).cast("int"))
-    anchors = written(anchors, "anchors", scratch)
+    anchors.write.partitionBy("batch").option("compression", "zstd").parquet(staged)
+    anchors = spark.read.schema(f"{IndexFamily.SCHEMA}, batch int").parquet(staged)
     family, matched = IndexFamily(spark), None
     for i in range(batches):
         found = written(family.add(anchors.filter(F.col("batch") == i)), "matched", scratch)
+        dropped(spark, f"{staged}/batch={i}")  # its suffixes are in the family now
         released(spark)
         matched = found if matched is None else matched.unionByName(found)
     # sides with a row per key are tables of their own: a join of two plain shuffles is one that Spark can split at hot keys
     keys = written(matched.distinct(), "keys", scratch)
-    classes = written(family.arrays().join(keys, KEY, "left_semi"), "classes", scratch)
+    occurrences = written(family.arrays().join(keys, KEY, "left_semi"), "occurrences", scratch)
     family.drop()
+    dropped(spark, staged)
+    released(spark)
+    # of the suffixes with one context any stands for all; its columns are of one row
+    classes = occurrences.groupBy("head", "tail", "ctx").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("u0", "u1", "pos")])
+    classes = written(classes, "classes", scratch)
     several = written(classes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "several", scratch)
     equal = written(classes.filter("n > 1").select("head", "tail", "ctx"), "equal", scratch)
     later: list[str] = []
-    whole = written(anchors.join(equal, ["head", "tail", "ctx"], "left_semi").groupBy(*DOC).agg(F.collect_set("pos").alias("whole")), "whole", later)
+    whole = written(occurrences.join(equal, ["head", "tail", "ctx"], "left_semi").groupBy(*DOC).agg(F.collect_set("pos").alias("whole")), "whole", later)
     open_ = classes.join(several, KEY).select("u0", "u1", "pos", "head", "tail", (F.col("n") > 1).alias("many"), "classes")
     rows = _identified(docs, id_col, text_col)
     contexts = written(_contexts(rows, open_, lengths), "contexts", later)

@@ -93,6 +93,17 @@ def test_packing(spark):
     assert packing.packed(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_buckets_of_long_documents_are_nearly_optimal(spark):
+    rng = random.Random(7)
+    sizes = [rng.randint(1025, 9000) for _ in range(9)] * 2 + [1030, 1031]
+    got = packing.packed(spark.createDataFrame([(i, None, n) for i, n in enumerate(sizes)], "doc_id long, text string, n long"), buckets=3, tokens=F.col("n")).collect()
+    cost = lambda bs: sum(min(b for b in bs if b >= n) for n in sizes)
+    lengths = sorted(set(sizes))
+    best = min(cost((*c, lengths[-1])) for m in range(3) for c in itertools.combinations(lengths[:-1], m))
+    assert {r.bucket_tokens for r in got} <= set(sizes)  # true lengths, not rounded ones
+    assert best <= sum(r.bucket_tokens for r in got) <= best * (1 + 1 / packing.STEPS)
+
+
 def test_length_classes(spark):
     ns = [0, 1, 1023, 1024, 1025, 1040, 5000, 100_000, 1 << 40]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in ns], "n long").select(packing.length_class(F.col("n"))).collect()]
