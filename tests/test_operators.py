@@ -203,3 +203,44 @@ def test_greedy_pairs_equal_a_walk(spark):
     got = match.greedy_pairs(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "b", "name", "p")
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
+
+
+def walk(root, links, valid, depth, budget, width):
+    """One site's crawl, page by page."""
+    ahead, later, seen, tried = [], [(root, 0)], [], []
+    while (ahead or later) and len(seen) < budget:
+        batch = []
+        while (ahead or later) and len(batch) < width and len(seen) < budget:
+            node, d = ahead.pop(0) if ahead else later.pop(0)
+            if node not in seen:
+                seen.append(node)
+                batch.append((node, d))
+        for node, d in batch:
+            for _, dst, document, followed, priority in sorted(x[1:] for x in links if x[0] == node):
+                if document:
+                    if dst not in tried:
+                        tried.append(dst)
+                        if dst in valid:
+                            return len(seen), len(tried), node, dst
+                elif d < depth and dst not in seen and followed:
+                    (ahead if priority else later).append((dst, d + 1))
+    return len(seen), len(tried), None, None
+
+
+@pytest.mark.parametrize(("width", "seed"), [(1, 1), (2, 2)])
+def test_crawl_equals_a_walk(spark, width, seed):
+    rng = random.Random(seed)
+    links = []
+    for site in "abc":
+        for n in range(9):
+            for pos in range(5):
+                document = rng.random() < 0.2
+                dst = f"{site}-doc{rng.randint(0, 6)}" if document else f"{site}{rng.randint(0, 8)}"
+                links.append((f"{site}{n}", pos, dst, document, rng.random() < 0.8, rng.random() < 0.4))
+    valid = ["a-doc5", "b-doc1"]
+    roots = [(s, f"{s}0") for s in "abc"]
+    got = pages.crawl(
+        spark.createDataFrame(roots, "site string, node string"), spark.createDataFrame(links, "src string, pos int, dst string, is_regulation boolean, is_followed boolean, is_priority boolean"),
+        spark.createDataFrame([(v,) for v in valid], "dst string"), depth=3, budget=6, width=width,
+    )
+    assert {r.site: tuple(r)[1:] for r in got.collect()} == {s: walk(r, links, valid, 3, 6, width) for s, r in roots}
