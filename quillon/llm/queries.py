@@ -128,3 +128,63 @@ def op3_topk_search(spark, sf_dir):
 @query("op2_license_scan")
 def op2_license_scan(spark, sf_dir):
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+# --- parts of operators that SQL can express ------------------------------------------------------------
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "quality_base",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+    win AS (SELECT k, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+    twice AS (SELECT k, i FROM (SELECT k, i, COUNT(*) OVER (PARTITION BY k, g) AS c FROM win) WHERE c > 1),
+    rep AS (SELECT k, COUNT(DISTINCT i + j) AS n FROM twice, (SELECT unnest(range(0, 5)) AS j) GROUP BY 1),
+    s AS (SELECT k, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d)
+    SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+           n_words < 10 OR 100 * coalesce(n, 0) > 20 * n_words AS base_failed FROM s LEFT JOIN rep USING (k)
+    """,
+)
+def quality_base(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@query(
+    "url_rules",
+    r"""
+    WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+    q AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+    rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    fit AS (SELECT page_id, arg_max(struct_pack(n := x.host || x.path, v := verdict), length(x.host || x.path)) AS b
+            FROM q JOIN rules x ON (q.host = x.host OR ends_with(q.host, '.' || x.host)) AND starts_with(q.path, x.path) GROUP BY 1)
+    SELECT page_id, host, path, b.n AS rule, b.v AS rule_verdict FROM q LEFT JOIN fit USING (page_id)
+    """,
+)
+def url_rules(spark, sf_dir):
+    return urls.ruled(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "rule_verdict")
+
+
+@query(
+    "length_histogram",
+    f"""
+    WITH n AS (SELECT len({_WORDS}) AS n FROM documents), c AS (SELECT n, power(2, floor(log2(greatest(n, 1)))) / 64 AS step FROM n)
+    SELECT CAST(CASE WHEN n <= 1024 THEN greatest(n, 1) ELSE ceil(n / step) * step END AS BIGINT) AS length_class, COUNT(*) AS n FROM c GROUP BY 1
+    """,
+)
+def length_histogram(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(packing.length_class(n_words(F.col("text"))).alias("length_class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "mix_sizes",
+    f"""
+    WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents)
+    SELECT doc_id, size, CAST(SUM(size) OVER (PARTITION BY source) AS BIGINT) AS source_size FROM d
+    """,
+)
+def mix_sizes(spark, sf_dir):
+    light = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64("text").alias("text"))
+    return mixing.planned(light, size=F.col("n")).select("doc_id", "size", "source_size")
