@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, licenses, mixing, packing, quality, simhash, suffixes, topk, urls, warc
-from quillon.llm.common import n_words, shared_folder, written
+from quillon.llm import langid, licenses, mixing, packing, periods, quality, simhash, suffixes, topk, urls, warc
+from quillon.llm.common import WORD, n_words, shared_folder, written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -130,6 +130,33 @@ def op2_license_scan(spark, sf_dir):
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
+def with_planted_period(text, doc_id):
+    """Of every document whose id has a crc32 that ends in 0: its words, repeated with a period from some word on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"))
+    n = F.size(words).cast("long")
+
+    def repeated(w):
+        a = F.pmod(g, F.size(w).cast("long"))
+        p = 1 + F.floor((F.size(w) - a) / (3 + g % 8))
+        return F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int"))))
+
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated(words), " ")).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_planted_period(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periods.periodic_runs(docs)
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.n").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.n div -best.p").alias("exponent_milli"), F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 # --- parts of operators that SQL can express ------------------------------------------------------------
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
