@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, licenses, mixing, packing, periods, quality, simhash, suffixes, topk, urls, warc
+from quillon.llm import langid, licenses, mixing, packing, periods, quality, simhash, suffixes, topk, urls, warc, whitening
 from quillon.llm.common import WORD, n_words, shared_folder, written
 
 QUERIES: dict = {}
@@ -157,6 +157,11 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 # --- parts of operators that SQL can express ------------------------------------------------------------
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
