@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.llm import langid, licenses, mixing, packing, periods, quality, simhash, suffixes, topk, urls, warc, whitening
+from quillon.llm import langid, licenses, mixing, packing, passages, periods, quality, simhash, suffixes, topk, urls, warc, whitening
 from quillon.llm.common import WORD, n_words, shared_folder, written
 
 QUERIES: dict = {}
@@ -162,6 +162,15 @@ def op12_whitening(spark, sf_dir):
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_quality_classifier")
+def op13_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = passages.fitted(docs, labels.filter(~passages.held_out()))
+    told = passages.scored(docs, model)
+    return told.select("doc_id", passages.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_attention")
+
+
 # --- parts of operators that SQL can express ------------------------------------------------------------
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
