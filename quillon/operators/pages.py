@@ -8,42 +8,28 @@ from pyspark.sql import functions as F
 from quillon.functions import terms
 from quillon.functions import url as U
 from quillon.functions.text import contains_any, spaced, squash, strip
+from quillon.operators import html as H
 from quillon.session import stored
 
-ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
-
-
-def text_of(html: Column) -> Column:
-    """The text of a piece of HTML: no tags, the basic entities, no white space around."""
-    out = F.regexp_replace(html, r"(?s)<[^>]*>", "")
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return strip(out)
-
-
 def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
-    """A row per link of a page: pos (from 0), href and text, in document order."""
-    found = pages.withColumn("__a", F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>.*?</a>"), F.lit(0)))
-    each = found.select(*[c for c in pages.columns if c != html], F.posexplode("__a").alias("pos", "__x"))
-    href, text = F.regexp_extract("__x", ANCHOR, 1), text_of(F.regexp_extract("__x", r"(?is)^<a\s[^>]*>(.*)</a>$", 1))
-    return each.withColumn("href", strip(href)).withColumn("text", text).drop("__x").filter("href != ''")
+    """A row per link of a page: pos (from 0, among all a elements), href and text, in document order."""
+    found = H.links(pages, html).drop("title")
+    return found.withColumns({"href": strip(F.col("href")), "text": strip(F.col("text"))}).filter("href != ''")
 
 
 def table_rows(pages: DataFrame, html: str = "html", header: int = 1) -> DataFrame:
-    """A row per table row after the header: pos and its cells' HTML."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>.*?</tr>"), F.lit(0))
-    each = pages.select(*[c for c in pages.columns if c != html], F.posexplode(rows).alias("pos", "__r")).filter(F.col("pos") >= header)
-    return each.select("*", F.regexp_extract_all("__r", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)).alias("cells")).drop("__r")
-
-
-def contacts(rows: DataFrame, cells: str = "cells") -> DataFrame:
-    """Five cells as six fields: the last cell's first link's text is the e-mail, its second link's target the website."""
-    cell = lambda i: F.nullif(text_of(F.try_element_at(F.col(cells), F.lit(i))), F.lit(""))
-    links = F.regexp_extract_all(F.try_element_at(F.col(cells), F.lit(5)), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0))
-    mail = F.nullif(text_of(F.try_element_at(links, F.lit(1))), F.lit(""))
-    site = F.nullif(strip(F.regexp_extract(F.try_element_at(links, F.lit(2)), ANCHOR, 1)), F.lit(""))
+    """A row per table row after each table's header: table, pos, its cells' HTML, their texts and links."""
+    return H.cells(pages, html).filter(F.col("pos") >= header)
+
+
+def contacts(rows: DataFrame) -> DataFrame:
+    """Five cells of table_rows() as six fields: the last cell's first link's text is the e-mail, its second link's target the website."""
+    filled = lambda c: F.nullif(strip(c), F.lit(""))
+    cell = lambda i: filled(F.try_element_at("texts", F.lit(i)))
+    found = F.try_element_at("links", F.lit(5))
+    mail, site = filled(F.try_element_at(found, F.lit(1))["text"]), filled(F.try_element_at(found, F.lit(2))["href"])
     return rows.select(
-        *[c for c in rows.columns if c != cells], cell(1).alias("municipality"), cell(2).alias("president"), cell(3).alias("address"), cell(4).alias("phone"), mail.alias("email"), U.to_https(site).alias("website")
+        *[c for c in rows.columns if c not in ("table", "cells", "texts", "links")], cell(1).alias("municipality"), cell(2).alias("president"), cell(3).alias("address"), cell(4).alias("phone"), mail.alias("email"), U.to_https(site).alias("website")
     )
 
 
@@ -63,15 +49,20 @@ def sections(elements: DataFrame, by: str, pos: str, heading: Column, label: Col
 
 
 def regulations(pages: DataFrame, by: str, html: str = "html") -> DataFrame:
-    """(by, municipality, section, name, dre_url, pos) of the links under known labels of a regulation page."""
-    parts = F.regexp_extract_all(html, F.lit(r"(?is)<(?:h2|p)\b[^>]*>.*?</(?:h2|p)>"), F.lit(0))
-    each = pages.select(by, F.posexplode(parts).alias("pos", "x"))
-    head = F.when(F.col("x").rlike("(?is)^<h2"), text_of(F.col("x")))
-    strong = F.regexp_extract("x", r"(?is)<strong\b[^>]*>(.*?)</strong>", 1)
-    label = F.when(F.col("x").rlike("(?is)^<p") & F.col("x").rlike("(?is)<strong"), text_of(strong))
-    told = sections(each, by, "pos", head, label, {terms.URBANIZATION_LABEL: "urbanization", terms.FEES_LABEL: "fees"})
-    links = anchors(told.filter("section is not null").filter(label.isNull()).select(by, "heading", "section", F.col("pos").alias("at"), "x"), "x")
-    return links.select(by, F.col("heading").alias("municipality"), "section", F.col("text").alias("name"), F.col("href").alias("dre_url"), F.col("at").alias("pos"))
+    """(by, municipality, section, name, dre_url, pos) of the links under known labels of a regulation page.
+
+    A heading names the municipality, a paragraph with strong text is a label, the links of the paragraphs after it belong to it.
+    """
+    each = H.elements(pages.select(by, html), ("h2", "p", "strong", "a"), html).withColumn("text", strip(F.col("text")))
+    part = F.when(F.col("tag").isin("h2", "p"), F.col("node")).otherwise(F.try_element_at(F.filter("parents", lambda x: x["tag"] == "p"), F.lit(1))["node"])
+    each = each.withColumn("part", part).filter("part IS NOT NULL")
+    paragraph = Window.partitionBy(by, "part").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first_strong = F.first(F.when(F.col("tag") == "strong", F.col("text")), ignorenulls=True).over(paragraph)
+    each = each.withColumn("strong", first_strong)
+    head, label = F.when(F.col("tag") == "h2", F.col("text")), F.when(F.col("tag") == "p", F.col("strong"))
+    told = sections(each, by, "node", head, label, {terms.URBANIZATION_LABEL: "urbanization", terms.FEES_LABEL: "fees"})
+    links = told.filter("tag = 'a' AND strong IS NULL AND section IS NOT NULL").withColumn("dre_url", strip(F.col("attrs")["href"])).filter("dre_url != ''")
+    return links.select(by, F.col("heading").alias("municipality"), "section", F.col("text").alias("name"), "dre_url", F.col("part").alias("pos"))
 
 
 def is_document(href: Column) -> Column:

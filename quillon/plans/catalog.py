@@ -479,6 +479,38 @@ def anchors(spark, sf_dir):
     return pages.anchors(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "pos", "href", "text")
 
 
+_AWKWARD = (
+    "<a href=/x%1$s>one</a><A HREF = \"/y?a=%1$s&amp;b=2\">two &eacute; &lt;b&gt;</A><!-- <a href='/c'>no</a> --><script>var s = '<a href=\"/s\">no</a>';</script>"
+    "<a title='a > b' href=\"/z'%1$s\">three</a><a data-href='/no' href='/yes%1$s'>four</a><div><a href='/open%1$s'>fi<b>ve<a href='/next%1$s'>six</a></div>"
+    "<textarea><a href='/t'>no</a></textarea><a name=top>seven</a><a href>eight</a><p title=\"<a href='/q'>\">a < b <a href='/last%1$s' href='/twice%1$s'>n<!-- > -->ine<style>x</style></p><a href='/cut"
+)
+
+
+@query(
+    "awkward_links",
+    """
+    SELECT c_custkey AS id, pos, replace(href, '#', CAST(c_custkey AS VARCHAR)) AS href, text FROM customer,
+        (VALUES (0, '/x#', 'one'), (1, '/y?a=#&b=2', 'two é <b>'), (2, '/z''#', 'three'), (3, '/yes#', 'four'), (4, '/open#', 'five'), (5, '/next#', 'six'), (8, '/twice#', 'nine')) v(pos, href, text)
+    """,
+)
+def awkward_links(spark, sf_dir):
+    html = F.format_string(_AWKWARD, F.col("c_custkey").cast("string"))
+    return pages.anchors(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), html.alias("html"))).select("id", "pos", "href", "text")
+
+
+@query(
+    "nested_rows",
+    """
+    SELECT s_suppkey AS id, t AS "table", pos, CAST(n AS INTEGER) AS n, replace(texts, '#', CAST(s_suppkey AS VARCHAR)) AS texts FROM supplier,
+        (VALUES (0, 0, 0, ''), (0, 1, 3, 'a#|in#er|c'), (1, 0, 2, 'in#|er'), (0, 2, 2, 'd|e#'), (-1, 0, 1, 'f')) v(t, pos, n, texts)
+    """,
+)
+def nested_rows(spark, sf_dir):
+    html = "<table><tr><th>h<tr><td>a%1$s<td><table><tbody><tr><td>in%1$s<td>er</table></td><td>c</tr><tr><td>d</td><td><p>e%1$s</table><tr><td>f"
+    page = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.format_string(html, F.col("s_suppkey").cast("string")).alias("html"))
+    return pages.table_rows(page, header=0).select("id", "table", "pos", F.size("cells").alias("n"), F.array_join("texts", "|").alias("texts"))
+
+
 @query(
     "url_join",
     rf"""SELECT page_id, CAST(pos AS INTEGER) AS pos, CASE WHEN href LIKE 'http%' THEN href WHEN href LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href

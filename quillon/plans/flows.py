@@ -15,7 +15,7 @@ from quillon import schemas
 from quillon.functions import terms
 from quillon.functions import text as T
 from quillon.functions import url as U
-from quillon.operators import dedup, documents, lookup, match, merge, pages, validate
+from quillon.operators import dedup, documents, html, lookup, match, merge, pages, validate
 from quillon.session import stored
 
 MAINLAND = [f"{i:02d}" for i in range(1, 19)]
@@ -210,6 +210,6 @@ def pending_pdfs(tables: dict[str, DataFrame], size: int = 8) -> DataFrame:
 
 def pdf_link(page: DataFrame) -> DataFrame:
     """(url, pdf_url) of detail pages: the target of the link titled as PDF."""
-    tag = F.regexp_extract("html", r"(?is)<a\b[^>]*title=[\"']Documento em formato PDF[\"'][^>]*>", 0)
-    href = T.strip(F.regexp_extract(tag, r"(?is)\bhref=[\"']([^\"']*)[\"']", 1))
-    return page.select("url", F.nullif(href, F.lit("")).alias("pdf_url"))
+    titled = html.links(page.select("url", "html")).filter(F.col("title") == "Documento em formato PDF")
+    first = titled.groupBy("url").agg(F.min_by(T.strip(F.col("href")), "pos").alias("pdf_url"))
+    return page.select("url").join(first, "url", "left").select("url", F.nullif("pdf_url", F.lit("")).alias("pdf_url"))
