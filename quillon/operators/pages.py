@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillon.functions import terms
 from quillon.functions import url as U
 from quillon.functions.text import contains_any, spaced, squash, strip
+from quillon.operators import crawl as walks
 from quillon.operators import html as H
 from quillon.session import stored
 
@@ -142,50 +143,8 @@ def reach(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
 
 
 def crawl(roots: DataFrame, links: DataFrame, valid: DataFrame, depth: int, budget: int, width: int = 1) -> DataFrame:
-    """(site, visited, attempted, source_url, pdf_url): of each site the first valid document of a crawl with a page budget.
-
-    roots are (site, node); links (src, pos, dst, is_regulation, is_followed, is_priority), valid (dst). A
-    site's pages are visited `width` at a time: links that name the plan first, others after them, both in
-    the order in which they were met, each page once. A site stops at its first valid document, at
-    `budget` pages, or when nothing is left; links deeper than `depth` aren't followed. A document
-    that proved wrong is not tried again.
-
-    All sites advance together, a round a step of the walk. A round picks at most `width` rows of each site and joins
-    them with the links; frontier, visited pages and results are small beside the links, and are
-    kept in the shared folder, so plans don't grow.
-    """
-    links, valid = stored(links), stored(valid.select("dst").distinct())
-    order = F.struct((~F.col("priority")).alias("late"), "seq")
-    frontier = roots.select("site", "node", F.lit(0).alias("depth"), F.lit(False).alias("priority"), F.array(F.lit(0), F.lit(0), F.lit(0)).alias("seq")).distinct()
-    frontier = stored(frontier)
-    visited = stored(frontier.select("site", "node").limit(0))
-    state = stored(roots.select("site").distinct().select("site", F.lit(0).alias("visited"), F.lit(None).cast("string").alias("source_url"), F.lit(None).cast("string").alias("pdf_url")))
-    tried = stored(frontier.select("site", F.col("node").alias("dst")).limit(0))
-    for step in range(1, budget + 1):
-        # of a page that was met more than once only the first turn counts
-        open_ = frontier.groupBy("site", "node").agg(F.min_by(F.struct("depth", "priority", "seq"), order).alias("f")).select("site", "node", "f.*")
-        w = Window.partitionBy("site").orderBy(order)
-        turn = open_.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= width)
-        turn = stored(turn.join(state.filter("pdf_url is null"), "site").filter(F.col("k") <= budget - F.col("visited")).select("site", "node", "depth", "k"))
-        if turn.isEmpty():
-            break
-        visited = stored(visited.unionByName(turn.select("site", "node")))
-        met = stored(turn.join(links, F.col("node") == F.col("src")).select("site", "node", "depth", "k", "pos", "dst", "is_regulation", "is_followed", "is_priority"))
-        fresh = met.filter("is_regulation").join(tried, ["site", "dst"], "left_anti")
-        fresh = fresh.groupBy("site", "dst").agg(F.min(F.struct("k", "pos")).alias("at"), F.min_by("node", F.struct("k", "pos")).alias("node"))
-        fresh = stored(fresh.join(valid.withColumn("ok", F.lit(True)), "dst", "left"))
-        hits = fresh.filter("ok").groupBy("site").agg(F.min("at").alias("first"), F.min_by("node", "at").alias("source"), F.min_by("dst", "at").alias("document"))
-        # what comes after a site's hit is not tried any more
-        tried = stored(tried.unionByName(fresh.join(hits, "site", "left").filter("first is null or at <= first").select("site", "dst")))
-        counts = turn.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
-        state = state.join(counts, "site", "left").join(hits, "site", "left")
-        state = stored(state.select("site", (F.col("visited") + F.coalesce("n", F.lit(0))).cast("int").alias("visited"), F.coalesce("source_url", "source").alias("source_url"), F.coalesce("pdf_url", "document").alias("pdf_url")))
-        ahead = met.filter(F.col("is_followed") & ~F.col("is_regulation") & (F.col("depth") < depth))
-        ahead = ahead.select("site", F.col("dst").alias("node"), F.col("depth") + 1, F.col("is_priority").alias("priority"), F.array(F.lit(step), F.col("k").cast("int"), F.col("pos").cast("int")).alias("seq")).toDF("site", "node", "depth", "priority", "seq")
-        going = state.filter("pdf_url is null").select("site")
-        frontier = stored(frontier.unionByName(ahead).join(visited, ["site", "node"], "left_anti").join(going, "site", "left_semi"))
-    attempts = tried.groupBy("site").agg(F.count(F.lit(1)).alias("attempted"))
-    return state.join(attempts, "site", "left").select("site", "visited", F.coalesce("attempted", F.lit(0)).cast("int").alias("attempted"), "source_url", "pdf_url")
+    """(site, visited, attempted, source_url, pdf_url): of each site the first valid document of a crawl with a page budget; see crawl.crawl()."""
+    return walks.crawl(roots, links, valid, depth, budget, width)[0]
 
 
 def named_links(links: DataFrame, href: str = "href", text: str = "text") -> DataFrame:

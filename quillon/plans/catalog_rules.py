@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillon.functions import http as H
 from quillon.functions import text as T
 from quillon.functions import url as U
-from quillon.operators import dedup, documents, lookup, match, merge, pages, rollup, validate
+from quillon.operators import crawl, dedup, documents, lookup, match, merge, pages, rollup, validate
 from quillon.plans import flows
 from quillon.plans.catalog import query
 from quillon.session import table
@@ -296,6 +296,21 @@ def territory_legs(spark, sf_dir):
 # --- the crawl ------------------------------------------------------------------------------------------
 
 
+def _site_graph(spark, sf_dir):
+    """(roots, links, valid) of a graph in which a nation's page leads to its suppliers, a supplier's to the next nation, and to parts as documents."""
+    s, p, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
+    name = lambda c, k: F.concat(F.lit(c), k.cast("string"))
+    no, yes = F.lit(False), F.lit(True)
+    cols = ["src", "pos", "dst", "is_regulation", "is_followed", "is_priority"]
+    k = s.count()
+    down = s.select(name("n", F.col("s_nationkey")), F.col("s_suppkey").cast("int"), name("s", F.col("s_suppkey")), no, yes, F.col("s_acctbal") > 5000).toDF(*cols)
+    on = s.select(name("s", F.col("s_suppkey")), (F.col("s_suppkey") % 7).cast("int"), name("n", (F.col("s_nationkey") + 1) % 25), no, yes, no).toDF(*cols)
+    docs = p.filter("p_size > 20").select(name("s", F.col("p_partkey") % k), (F.lit(10) + F.col("p_partkey")).cast("int"), name("p", F.col("p_partkey") % 50), yes, no, no).toDF(*cols)
+    valid = p.filter("p_partkey % 50 % 17 = 3").select(name("p", F.col("p_partkey") % 50).alias("dst"))
+    roots = n.select(F.col("n_name").alias("site"), name("n", F.col("n_nationkey")).alias("node"))
+    return roots, down.unionByName(on).unionByName(docs), valid
+
+
 @query(
     "bfs_priority",
     """
@@ -320,17 +335,38 @@ def territory_legs(spark, sf_dir):
     """,
 )
 def bfs_priority(spark, sf_dir):
-    s, p, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
-    name = lambda c, k: F.concat(F.lit(c), k.cast("string"))
-    no, yes = F.lit(False), F.lit(True)
-    cols = ["src", "pos", "dst", "is_regulation", "is_followed", "is_priority"]
-    k = s.count()
-    down = s.select(name("n", F.col("s_nationkey")), F.col("s_suppkey").cast("int"), name("s", F.col("s_suppkey")), no, yes, F.col("s_acctbal") > 5000).toDF(*cols)
-    on = s.select(name("s", F.col("s_suppkey")), (F.col("s_suppkey") % 7).cast("int"), name("n", (F.col("s_nationkey") + 1) % 25), no, yes, no).toDF(*cols)
-    docs = p.filter("p_size > 20").select(name("s", F.col("p_partkey") % k), (F.lit(10) + F.col("p_partkey")).cast("int"), name("p", F.col("p_partkey") % 50), yes, no, no).toDF(*cols)
-    valid = p.filter("p_partkey % 50 % 17 = 3").select(name("p", F.col("p_partkey") % 50).alias("dst"))
-    roots = n.select(F.col("n_name").alias("site"), name("n", F.col("n_nationkey")).alias("node"))
-    return pages.crawl(roots, down.unionByName(on).unionByName(docs), valid, depth=3, budget=8)
+    return pages.crawl(*_site_graph(spark, sf_dir), depth=3, budget=8)
+
+
+def _plain_walk(stop: str) -> str:
+    """A walk breadth first that keeps all documents, page by page, until `stop`; nothing is shared with the operator."""
+    return f"""
+    WITH RECURSIVE links AS (
+        SELECT 'n' || s_nationkey AS src, CAST(s_suppkey AS INTEGER) AS pos, 's' || s_suppkey AS dst, false AS doc FROM supplier
+        UNION ALL SELECT 's' || s_suppkey, CAST(s_suppkey % 7 AS INTEGER), 'n' || ((s_nationkey + 1) % 25), false FROM supplier
+        UNION ALL SELECT DISTINCT 's' || (p_partkey % (SELECT COUNT(*) FROM supplier)), CAST(10 + p_partkey AS INTEGER), 'p' || (p_partkey % 50), true FROM part WHERE p_size > 20),
+    adj AS (SELECT src, list(dst ORDER BY pos, dst) FILTER (WHERE NOT doc) AS pages, list(dst ORDER BY pos, dst) FILTER (WHERE doc) AS docs FROM links GROUP BY 1),
+    s(site, queue, visited, found, quiet) AS (
+        SELECT n_name, ['n' || n_nationkey], CAST([] AS VARCHAR[]), CAST([] AS STRUCT(d VARCHAR, p VARCHAR)[]), 0 FROM nation
+        UNION ALL
+        SELECT site, list_filter(list_concat(queue, coalesce(pages, [])), lambda x: NOT list_contains(seen, x)), seen,
+            list_concat(found, list_transform(list_filter(list_distinct(coalesce(docs, [])), lambda x: NOT list_contains(list_transform(found, lambda y: y.d), x)), lambda x: struct_pack(d := x, p := cur))),
+            CASE WHEN len(docs) > 0 THEN 0 ELSE quiet + 1 END
+        FROM (SELECT t.*, docs, pages, list_append(visited, cur) AS seen FROM (SELECT *, queue[1] AS cur FROM s WHERE len(queue) > 0 AND {stop}) t LEFT JOIN adj ON src = cur)),
+    last AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY site ORDER BY len(visited) DESC) = 1)
+    """
+
+
+@query("crawl_candidates", _plain_walk("len(visited) < 40") + "SELECT site, u.p AS source_url, u.d AS pdf_url FROM (SELECT site, unnest(found) AS u FROM last)")
+def crawl_candidates(spark, sf_dir):
+    roots, links, _ = _site_graph(spark, sf_dir)
+    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 40, first=False)[1].select("site", "source_url", "pdf_url")
+
+
+@query("crawl_idle", _plain_walk("len(visited) < 200 AND quiet < 3") + "SELECT site, CAST(len(visited) AS INTEGER) AS visited, CAST(len(found) AS INTEGER) AS attempted FROM last")
+def crawl_idle(spark, sf_dir):
+    roots, links, _ = _site_graph(spark, sf_dir)
+    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 200, first=False, idle=3)[0].select("site", "visited", "attempted")
 
 
 @query("contact_codes", "SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 4, '0') END AS ine_code FROM customer")

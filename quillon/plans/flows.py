@@ -15,7 +15,7 @@ from quillon import schemas
 from quillon.functions import terms
 from quillon.functions import text as T
 from quillon.functions import url as U
-from quillon.operators import dedup, documents, html, lookup, match, merge, pages, validate
+from quillon.operators import crawl, dedup, documents, html, lookup, match, merge, pages, validate
 from quillon.session import stored
 
 MAINLAND = [f"{i:02d}" for i in range(1, 19)]
@@ -87,27 +87,45 @@ def parishes(sheets: dict[str, DataFrame], city: DataFrame, exclude: dict[str, l
 # --- plan discovery -------------------------------------------------------------------------------
 
 
-def plan_documents(city: DataFrame, done: DataFrame, page: DataFrame, contents: DataFrame, depth: int = 4, min_pages: int = 10, min_hits: int = 5) -> DataFrame:
+def plan_documents(city: DataFrame, done: DataFrame, page: DataFrame, contents: DataFrame, depth: int = 4, min_pages: int = 10, min_hits: int = 5, budget: int = 5000) -> DataFrame:
     """(city_id, source_url, pdf_url): of each city without a plan the first valid regulation document that its site leads to.
 
-    city (city_id, website), page (url, html) as fetched, contents (url, content, number_of_pages).
-    The crawl is one for all sites: level by level, from pages worth following on the same host.
+    city (city_id, website), page (url, html) as fetched, contents (url, content, number_of_pages). The crawl
+    goes over pages worth following on the same host, those that name the plan first, `budget` pages of a site at most.
     """
     open_ = merge.pending(city.filter("website is not null"), done, ["city_id"])
     fetched = page.select(U.strip_fragment(F.col("url")).alias("url"), "html")
     links = pages.anchors(fetched).withColumn("target", U.strip_fragment(U.join(F.col("url"), F.col("href"))))
-    links = stored(pages.classified(links.filter(U.same_host(F.col("target"), F.col("url")))))  # read by every level
-    edges = links.filter("is_followed").select(F.col("url").alias("src"), F.col("target").alias("dst"))
-    roots = open_.select("city_id", U.strip_fragment(F.col("website")).alias("node"))
-    seen = pages.reach(edges, roots.select("node"), depth)
-    # sites are told apart by host: a crawl never leaves it
-    site = roots.select("city_id", U.part(F.col("node"), "authority").alias("host"))
-    seen = seen.withColumn("host", U.part(F.col("node"), "authority")).join(site, "host")
-    found = links.filter("is_regulation").select(F.col("url").alias("src"), "pos", "is_priority", "target", F.lit(True).alias("is_regulation"))
+    links = pages.classified(links.filter(U.same_host(F.col("target"), F.col("url"))))
+    links = links.select(F.col("url").alias("src"), "pos", F.col("target").alias("dst"), "is_regulation", "is_followed", "is_priority")
     hits = T.keyword_score(T.strip_accents(F.lower("content")), terms.CONTENT_WORDS)
-    valid = contents.filter(documents.looks_like_plan(F.col("number_of_pages"), hits, min_pages, min_hits)).select(F.col("url").alias("target")).distinct()
-    best = pages.first_document(seen, found.join(valid, "target"), "city_id")
-    return best.select("city_id", F.col("src").alias("source_url"), F.col("target").alias("pdf_url"))
+    valid = contents.filter(documents.looks_like_plan(F.col("number_of_pages"), hits, min_pages, min_hits)).select(F.col("url").alias("dst"))
+    roots = open_.select(F.col("city_id").alias("site"), U.strip_fragment(F.col("website")).alias("node"))
+    best = crawl.crawl(roots, links, valid, depth, budget)[0].filter("pdf_url IS NOT NULL")
+    return best.select(F.col("site").alias("city_id"), "source_url", "pdf_url")
+
+
+def plan_candidates(city: DataFrame, page: DataFrame, budget: int = 400) -> DataFrame:
+    """(city_id, k, source_url, pdf_url): every plan file that a city's site shows within `budget` pages below its root, breadth first."""
+    fetched = page.select(U.normalize_sorted_query(F.col("url")).alias("url"), "html")
+    links = pages.anchors(fetched).withColumn("dst", U.normalize_sorted_query(U.join(F.col("url"), F.col("href"))))
+    plan = pages.is_plan_pdf(F.col("dst"), F.col("text"))
+    links = links.select(F.col("url").alias("src"), "pos", "dst", plan.alias("is_regulation"), (~pages.is_file(F.col("dst"))).alias("is_followed"), F.lit(False).alias("is_priority"))
+    roots = city.filter("website is not null").select(F.col("city_id").alias("site"), U.normalize_sorted_query(F.col("website")).alias("node"))
+    return crawl.crawl(roots, links, None, None, budget, first=False, scope=U.in_scope)[1].withColumnRenamed("site", "city_id")
+
+
+def site_files(city: DataFrame, page: DataFrame, known: DataFrame, budget: int = 5000, idle: int = 600) -> DataFrame:
+    """(city_id, k, source_url, pdf_url): the plan files that sites show, on the same host; where some are `known` (city_id) already, `idle` pages in a row without any end the crawl."""
+    fetched = page.select(U.normalize_keep_query(F.col("url")).alias("url"), "html")
+    links = pages.anchors(fetched).withColumn("dst", U.normalize_keep_query(U.join(F.col("url"), F.col("href"))))
+    plan, file = pages.is_plan_file(F.col("dst")), pages.is_file_loosely(F.col("dst"))
+    links = links.filter(U.same_host(F.col("dst"), F.col("url"))).select(F.col("url").alias("src"), "pos", "dst", plan.alias("is_regulation"), (~file).alias("is_followed"), F.lit(False).alias("is_priority"))
+    roots = city.filter("website is not null").select(F.col("city_id").alias("site"), U.normalize_keep_query(F.col("website")).alias("node"))
+    old = roots.join(known.select(F.col("city_id").alias("site")).distinct(), "site", "left_semi")
+    fresh = roots.join(old.select("site"), "site", "left_anti")
+    found = [crawl.crawl(r, links, None, None, budget, first=False, idle=i)[1] for r, i in ((old, idle), (fresh, None))]
+    return found[0].unionByName(found[1]).withColumnRenamed("site", "city_id")
 
 
 # --- election files -------------------------------------------------------------------------------
