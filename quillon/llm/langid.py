@@ -5,10 +5,15 @@ their edges marked), hashed to a fixed number of rows. Embeddings and softmax ar
 stochastic gradient descent in numpy on a bounded, stratified sample; as both are linear, they
 fold into one table of a row per hash and a column per language, so prediction is a mean of
 table rows.
+
+Softmax scores say which known language is the likeliest, not whether it is any of them. Rejection looks at how
+usual a text's subwords are in the language told: their mean log frequency there. Its threshold is calibrated on
+known texts that training never saw and on strangers made from them, words whose letters are shuffled.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import _LOWER_CODE, byte_batches, text_buffers
+from quillon.llm.common import _LOWER_CODE, byte_batches, row_slices, text_buffers
 
 UNKNOWN = "und"
 PIECE = 1 << 18
@@ -28,8 +33,8 @@ class Settings:
     """rows: hash rows. per_lang: training texts of a language, about, at most, fewer where
     all languages would have more than max_texts together; max_langs: more labels are an error.
 
-    reject_rate: share of correctly told calibration texts that the rejection threshold may cost;
-    max_threshold: its upper bound.
+    reject_rate: share of correctly told calibration texts that either rejection threshold (of the score, of
+    usualness) may cost; floor: frequency of subwords that a language's sample lacks.
     """
 
     rows: int = 1 << 14
@@ -43,13 +48,16 @@ class Settings:
     rate: float = 0.5
     calibration: float = 0.2
     reject_rate: float = 0.001
-    max_threshold: float = 0.5
+    floor: float = 1e-6
     seed: int = 7
 
 
 @dataclass(frozen=True)
 class Model:
-    """langs, embeddings (a row a hash), softmax (a column a language) and bias; scale: inverse temperature."""
+    """langs, embeddings (a row a hash), softmax (a column a language) and bias; scale: inverse temperature.
+
+    usual: log frequency of each hash in each language (a row a language); texts whose mean lies under `least` are strangers.
+    """
 
     langs: tuple[str, ...]
     emb: np.ndarray
@@ -58,6 +66,8 @@ class Model:
     scale: float
     threshold: float
     settings: Settings
+    usual: np.ndarray | None = None
+    least: float = -np.inf
 
 
 def gram_pieces(data: np.ndarray, offsets: np.ndarray, settings: Settings, piece: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -123,11 +133,25 @@ def sampled(docs: DataFrame, settings: Settings, id_col: str, text_col: str, lan
     return known.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(parts)) < F.col("most")).drop("most")
 
 
+def shuffled(text: str, seed: int) -> str:
+    """The text with each word's characters in another order."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.sample(w, len(w))) for w in text.split())
+
+
 def counted(texts: DataFrame, settings: Settings) -> DataFrame:
-    """(lang, h, ids, counts): the distinct hash rows of each text and how often each occurs."""
+    """(lang, h, ids, counts): the distinct hash rows of each text and how often each occurs; lang is null for the strangers made from one in 1 / calibration texts."""
+    share = round(1 / settings.calibration)
+
+    def with_strangers(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lang, h, text = batch.columns
+        made = [i for i, x in enumerate(h.to_pylist()) if x % share == 0]
+        strange = [shuffled(text[i].as_py(), h[i].as_py()) for i in made]
+        columns = [pa.concat_arrays([lang, pa.nulls(len(made), lang.type)]), pa.concat_arrays([h, h.take(pa.array(made, pa.int64()))]), pa.concat_arrays([text, pa.array(strange, text.type)])]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "h", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in map(with_strangers, row_slices(batches, 64)):
             for lo, hi, data, offsets in text_buffers(batch.column(2), PIECE):
                 rows, counts, sizes = gram_counts(data, offsets, settings)
                 cuts = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
@@ -142,11 +166,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Settings) -> Model:
+def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Settings, strangers: list[tuple[np.ndarray, np.ndarray]] | None = None) -> Model:
     """Fit embeddings and softmax by SGD on (lang, hash, ids, counts), then calibrate.
 
     A share of the rows (by their hash) is kept from the SGD: the temperature that makes their
-    scores most likely, and the rejection threshold, come from it.
+    scores most likely, and the rejection thresholds, come from it. strangers are (ids, counts) of texts in no known language.
     """
     rows = sorted(rows, key=lambda r: r[1])
     sizes: dict[str, int] = {}
@@ -179,14 +203,32 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
             for i, g in zip(part, back, strict=True):
                 emb[rows[i][2]] -= (rate * 40 * weight[i])[:, None] * g[None, :]
     if not len(langs):
-        return Model((), emb, out, bias, 1.0, 0.0, settings)
+        return Model((), emb, out, bias, 1.0, 0.0, settings, np.zeros((0, settings.rows), np.float32), -np.inf)
     check = held or fit
     raw = np.stack([weight[i] @ emb[rows[i][2]] for i in check]) @ out + bias
     best = min((float(-np.log(np.clip(softmax(raw * s)[np.arange(len(check)), y[check]], 1e-12, 1)).mean()), s) for s in (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0))
     p = softmax(raw * best[1])
-    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[check]])
-    threshold = float(right[int(len(right) * settings.reject_rate)]) * 0.9 if len(right) else 0.0
-    return Model(langs, emb, out, bias, best[1], min(threshold, settings.max_threshold), settings)
+    told = p.argmax(axis=1)
+    right = told == y[check]
+    scores = np.sort(p.max(axis=1)[right])
+    threshold = float(scores[int(len(scores) * settings.reject_rate)]) * 0.9 if len(scores) else 0.0
+
+    usual = np.zeros((len(langs), settings.rows))
+    for i in fit:
+        usual[y[i], rows[i][2]] += weight[i]
+    usual = np.log(usual / np.maximum(usual.sum(axis=1, keepdims=True), 1e-12) + settings.floor).astype(np.float32)
+    known = np.sort([float(weight[i] @ usual[k, rows[i][2]]) for i, k, ok in zip(check, told, right, strict=True) if ok])
+    strange = []
+    for ids, counts in strangers or []:
+        if len(ids):
+            share = counts / counts.sum()
+            strange.append(float(share @ usual[(share @ emb[ids] @ out + bias).argmax(), ids]))
+    # half-way between the rarest of known texts and common strangers; no higher than the texts that it may cost
+    least = -np.inf
+    if len(known):
+        low = float(known[int(len(known) * settings.reject_rate)])
+        least = min(low, (low + float(np.median(strange))) / 2) if strange else low
+    return Model(langs, emb, out, bias, best[1], threshold, settings, usual, least)
 
 
 def fitted(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -194,14 +236,16 @@ def fitted(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_
     byte_batches(docs.sparkSession)
     sample = counted(sampled(docs, settings, id_col, text_col, lang_col), settings)
     rows = [(r["lang"], r["h"], np.asarray(r["ids"], np.int64), np.asarray(r["counts"], np.float32)) for r in sample.toLocalIterator()]
-    return trained(rows, settings)
+    strangers = [r[2:] for r in sorted((r for r in rows if r[0] is None), key=lambda r: r[1])]
+    return trained([r for r in rows if r[0] is not None], settings, strangers)
 
 
-def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id_col, the carried columns, lang_pred, score and rejected of every row.
+def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), detail: bool = False) -> DataFrame:
+    """id_col, the carried columns, lang_pred, score and rejected (and usualness, with `detail`) of every row.
 
     lang_pred is `und` with score 0 where the text is null or has no letter (or nothing was
-    learned); rejected is true there and where the score lies below the calibrated threshold.
+    learned); rejected is true there and where the score or usualness (mean log frequency of the text's subwords in
+    lang_pred; null for `und`) lies below its calibrated threshold.
     Of languages with equal scores the first by name is told; equal rows each keep a row. Texts of
     any length are read whole. A carried column that is called as a result ends in `_in`.
     """
@@ -213,11 +257,11 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     # as both are linear, the narrower of languages and dimensions is summed
     folded = len(model.langs) <= model.settings.dim
     sums_of = model.emb @ model.out if folded else model.emb
-    table = docs.sparkSession.sparkContext.broadcast((np.ascontiguousarray(sums_of.T), None if folded else model.out, model.bias, model.langs))  # rows x dim floats at most
+    table = docs.sparkSession.sparkContext.broadcast((np.ascontiguousarray(sums_of.T), None if folded else model.out, model.bias, model.langs, model.usual))  # rows x (dim + langs) floats at most
     settings, scale, text_at, width = model.settings, model.scale, sent.index(text_col), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, out, bias, langs = table.value
+        weights, out, bias, langs, usual = table.value
         names = np.array([*langs, UNKNOWN], dtype=object)
         for batch in batches:
             letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
@@ -236,14 +280,21 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
                     means = sums[known] / sizes[known][:, None]
                     p = softmax(((means if out is None else means @ out) + bias) * scale)
                     best[known], score[known] = p.argmax(axis=1), p.max(axis=1)
+                rare, row = np.zeros(hi - lo), np.minimum(best, len(langs) - 1)
+                for t0, t1, ids, n in gram_pieces(data, offsets, settings) if len(known) and usual is not None else ():
+                    some = np.flatnonzero(n)
+                    if len(some):
+                        rare[t0 + some] += np.add.reduceat(usual[np.repeat(row[t0:t1], n), ids], (np.cumsum(n) - n)[some])
+                rare = pa.array(rare / np.maximum(sizes, 1), mask=(best == len(langs)) | (usual is None))
                 rest = [batch.column(i).slice(lo, hi - lo) for i in range(width)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(names[best], pa.string()), pa.array(score)], [*names_in, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(names[best], pa.string()), pa.array(score), rare], [*names_in, "lang_pred", "score", "usualness"])
 
     names_in = source.columns[:width]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:width])
-    told = source.mapInArrow(run, f"{fields}, lang_pred string, score double")
-    back = [F.col(f"c{i}").alias(f"{c}_in" if c in ("lang_pred", "score", "rejected") else c) for i, c in enumerate(kept)]
-    return told.select(*back, "lang_pred", "score", ((F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.threshold)).alias("rejected"))
+    told = source.mapInArrow(run, f"{fields}, lang_pred string, score double, usualness double")
+    back = [F.col(f"c{i}").alias(f"{c}_in" if c in ("lang_pred", "score", "usualness", "rejected") else c) for i, c in enumerate(kept)]
+    strange = (F.col("score") < model.threshold) | F.coalesce(F.col("usualness") < float(model.least), F.lit(False))
+    return told.select(*back, "lang_pred", "score", ((F.col("lang_pred") == UNKNOWN) | strange).alias("rejected"), *["usualness"] * detail)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

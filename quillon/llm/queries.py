@@ -55,7 +55,7 @@ def op6_suffix_dedup(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fitted(docs.filter(~langid.held_out()))
-    return langid.predicted(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    return langid.predicted(docs, model, detail=True).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected", "usualness")
 
 
 @query("op1_mixing")
