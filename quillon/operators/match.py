@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.similarity import name_ratio
@@ -17,9 +19,8 @@ def resolve(names: DataFrame, name: str, candidates: DataFrame, candidate: str,
     the highest indel ratio if that reaches the threshold (ties: the first), else null.
 
     Each distinct name is resolved once. The first two tiers are equi-joins. For the third, a pair
-    with ratio >= t has lengths within a factor t / (2 - t) of each other and shares at least a
-    bigram (checked by length below), so candidates are found by bigram and length instead of by
-    comparing everything; short strings, where a shared bigram isn't certain, meet by length alone.
+    with ratio >= t has lengths within a factor t / (2 - t) of each other and shares a number of bigrams that follows from
+    its lengths, so candidates are found by their rarest bigrams; names so short that it is none meet by length alone.
     """
     asked = names.select(F.col(name).alias("n")).filter("n is not null").distinct()
     known = candidates.select(F.col(candidate).alias("c"), F.col(position).alias("p")).filter("c is not null").groupBy("c").agg(F.min("p").alias("p"))
@@ -33,25 +34,52 @@ def resolve(names: DataFrame, name: str, candidates: DataFrame, candidate: str,
     return names.join(found, name, "left")
 
 
+def _grams(s: str):
+    """The bigrams of a column of names, the k-th of a kind told from the others; a single character counts as one."""
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: F.substr(F.col(s), i, F.lit(2)))
+    return F.transform(pieces, lambda g, i: F.concat(g, F.size(F.filter(F.slice(pieces, 1, i + 1), lambda h: h == g)).cast("string")))
+
+
+def _least_shared(a, b, threshold: float):
+    """Bigrams that two names of a ratio of `threshold` share at least: each of the (1 - ratio) * (a + b) characters to delete spoils two of the longer one."""
+    return F.greatest(F.length(a), F.length(b)) - 1 - 2 * (1 - threshold) * (F.length(a) + F.length(b))
+
+
+def gram_candidates(asked: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(n, c, p) rows, some repeated, that hold every pair whose names share as many bigrams as the threshold asks for.
+
+    A prefix filter: bigrams are put in order of rarity; two names that share k of them share one of
+    their size - k + 1 rarest. k is least for names of equal length, so only that many bigrams of each name are joined. Where
+    they meet, what is left behind the meeting points must suffice for the rest of k.
+    """
+    each = asked.select(F.explode(_grams("n")).alias("g")).unionByName(known.select(F.explode(_grams("c")).alias("g")))
+    often = stored(each.groupBy("g").agg(F.count(F.lit(1)).alias("f")))
+
+    def prefixes(names: DataFrame, s: str, i: str, *more: str) -> DataFrame:
+        rows = names.withColumn("g", F.explode(_grams(s))).join(often, "g")
+        rows = rows.groupBy(s, *more).agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("a"))  # a name's bigrams
+        size = F.length(s) - F.ceil(_least_shared(s, s, threshold) - 1e-9).cast("int")
+        rows = rows.select(s, *more, F.posexplode(F.slice("a", 1, F.least(F.size("a"), F.greatest(size, F.lit(1))))).alias(i, "x"))
+        return rows.select(s, *more, i, F.col("x.g").alias("g"))
+
+    low = threshold / (2 - threshold)
+    met = prefixes(asked, "n", "i").join(prefixes(known, "c", "j", "p"), "g")
+    met = met.filter((F.length("c") >= F.length("n") * low - 1e-9) & (F.length("c") * low <= F.length("n") + 1e-9))
+    rest = F.least(F.length("n") - 1 - F.col("i"), F.length("c") - 1 - F.col("j"))
+    return met.filter(rest >= _least_shared("n", "c", threshold) - 1e-9).select("n", "c", "p")
+
+
 def near_pairs(asked: DataFrame, known: DataFrame, threshold: float, low: float) -> DataFrame:
     """Distinct (n, c, p) that contain all pairs whose indel ratio can reach the threshold.
 
-    d = (1 - ratio) * (len n + len c) characters are deleted in all; each spoils two bigrams of its
-    string at most, so of the bigrams of n (with repeats) all but 2 * (d of n) are in c too. A bigram that n has k times
-    counts as k bigrams, so what is compared are (bigram, occurrence) pairs. Names too short
-    for that (and their candidates) are paired by length.
+    Candidates are found by their rarest bigrams and stay if they share as many as the threshold asks for (see
+    gram_candidates). Names for which that is none (and their candidates) are paired by length.
     """
-    budget = lambda s: (1 - threshold) * (F.length(s) + F.length(s) / low)
-    safe = lambda s: F.length(s) - 1 > 2 * budget(s)
-    lengths = (F.length("c") >= F.length("n") * low) & (F.length("c") * low <= F.length("n"))
-    pieces = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: F.substr(F.col(s), i, F.lit(2)))
-    nth = lambda a: F.transform(a, lambda g, i: F.concat(g, F.size(F.filter(F.slice(a, 1, i + 1), lambda h: h == g)).cast("string")))
-    grams = lambda d, s: d.withColumn("a", pieces(s)).withColumn("g", F.explode(nth(F.col("a")))).drop("a")
-    shared = grams(asked.filter(safe("n")), "n").join(grams(known, "c"), "g").filter(lengths).groupBy("n", "c").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("k"))
-    least = F.length("n") - 1 - 2 * (1 - threshold) * (F.length("n") + F.length("c"))
-    by_gram = shared.filter(F.col("k") >= least - 1e-9).select("n", "c", "p")
-    span = F.sequence(F.ceil(F.length("n") * low).cast("int"), F.floor(F.length("n") / low).cast("int"))
-    by_length = asked.filter(~safe("n")).withColumn("l", F.explode(span)).join(known.withColumn("l", F.length("c")), "l").select("n", "c", "p")
+    safe = _least_shared("n", "n", threshold) > 1e-9
+    pairs = gram_candidates(asked.filter(safe), known, threshold).groupBy("n", "c").agg(F.min("p").alias("p"))
+    by_gram = pairs.filter(F.size(F.array_intersect(_grams("n"), _grams("c"))) >= _least_shared("n", "c", threshold) - 1e-9)
+    span = F.sequence(F.ceil(F.length("n") * low - 1e-9).cast("int"), F.floor(F.length("n") / low + 1e-9).cast("int"))
+    by_length = asked.filter(~safe).withColumn("l", F.explode(span)).join(known.withColumn("l", F.length("c")), "l").select("n", "c", "p")
     return by_gram.unionByName(by_length)
 
 
@@ -83,8 +111,7 @@ def greedy_pairs(left: DataFrame, right: DataFrame, block: str, name: str, posit
 
     Best is the equal name, else the first one equal when folded, else the one of the highest ratio (ties: the first) if it
     reaches the threshold. Null names take part in nothing; of equal names on the right the first counts.
-    Rows decide on each other only over pairs that can come about, so each connected group of such pairs
-    is worked off by itself, whatever the size of the block.
+    See first_come() for how the turns are taken.
     """
     mine = left.select(F.col(block).alias("b"), F.col(name).alias("n"), F.col(position).alias("lp")).filter("n is not null")
     free = right.select(F.col(block).alias("b"), F.col(name).alias("c"), F.col(position).alias("rp")).filter("c is not null").groupBy("b", "c").agg(F.min("rp").alias("rp"))
@@ -93,36 +120,87 @@ def greedy_pairs(left: DataFrame, right: DataFrame, block: str, name: str, posit
     close = names.withColumn("r", name_ratio("n", "c")).filter(F.col("r") >= threshold)
     pairs = mine.join(close, "n").join(free, ["b", "c"]).select("b", "n", "lp", "c", "rp", "r")
     alike = mine.withColumn("f", fold(F.col("n"))).join(free.withColumn("f", fold(F.col("c"))), ["b", "f"]).select("b", "n", "lp", "c", "rp", F.when(F.col("n") == F.col("c"), 3.0).otherwise(2.0).alias("r"))
-    pairs = stored(pairs.unionByName(alike).groupBy("b", "n", "lp", "c", "rp").agg(F.max("r").alias("r")))
-    side = lambda kind, *c: F.xxhash64(F.lit(kind), "b", *c)
-    group = linked_groups(pairs.select(side("l", "n", "lp").alias("u"), side("r", "c").alias("v")))
-    told = pairs.withColumn("node", side("l", "n", "lp")).join(group, "node").select("group", "b", "n", "lp", "c", "rp", "r")
+    pairs = pairs.unionByName(alike).groupBy("b", "n", "lp", "c", "rp").agg(F.max("r").alias("r"))
+    return first_come(pairs).select(F.col("b").alias(block), F.col("n").alias("left_name"), F.col("c").alias("right_name"))
 
-    def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        for (_, n), own in rows.sort_values(["lp", "n", "r", "rp"], ascending=[True, True, False, True]).groupby(["lp", "n"], sort=False):
-            for b, c in zip(own["b"], own["c"], strict=True):
-                if c not in taken:
-                    taken.add(c)
-                    out.append((b, n, c))
-                    break
-        return pd.DataFrame(out, columns=["b", "left_name", "right_name"])
 
-    kind = left.schema[block].dataType.simpleString()
-    found = told.groupBy("group").applyInPandas(pair, f"b {kind}, left_name string, right_name string")
-    return found.select(F.col("b").alias(block), "left_name", "right_name")
+def first_come(pairs: DataFrame, enough: float = 0.1) -> DataFrame:
+    """(b, n, c) of the serial walk over pairs (b, n, lp, c, rp, r): by lp, then n, each left takes its best right (highest r, then rp, c) that is free.
+
+    Rounds of mutual choice: a left and a right settle where the right is the left's best and the left
+    the first of all that would take it; no turn of the walk can come between them. All such pairs settle at once and
+    leave. When a round settles less than `enough` of the lefts, what is left hangs together in long chains: it is
+    walked in order by connected group, a batch at a time, and only the taken rights of one group are held.
+    """
+    pairs = stored(pairs)
+    out: list[DataFrame] = []
+    while True:
+        best = pairs.groupBy("b", "n", "lp").agg(F.min_by("c", F.struct(-F.col("r"), "rp", "c")).alias("c"))
+        first = pairs.groupBy("b", "c").agg(F.min(F.struct("lp", "n")).alias("first"))
+        told = stored(best.join(first, ["b", "c"]).select("b", "n", "lp", "c", (F.col("first.lp").eqNullSafe(F.col("lp")) & (F.col("first.n") == F.col("n"))).alias("settles")))
+        sizes = told.agg(F.count(F.lit(1)).alias("n"), F.count_if("settles").alias("s")).first()
+        if not sizes["n"]:
+            break
+        settled = told.filter("settles")
+        out.append(settled.select("b", "n", "c"))
+        pairs = pairs.join(settled.select("b", "n", "lp"), ["b", "n", "lp"], "left_anti").join(settled.select("b", "c"), ["b", "c"], "left_anti")
+        pairs = stored(pairs.select("b", "n", "lp", "c", "rp", "r"))
+        if sizes["s"] < enough * sizes["n"]:
+            out.append(_walked(pairs))
+            break
+    every = out[0] if out else pairs.select("b", "n", "c")
+    for rows in out[1:]:
+        every = every.unionByName(rows)
+    return every
+
+
+def _walked(pairs: DataFrame) -> DataFrame:
+    """(b, n, c) of the walk, by connected group."""
+    side = lambda kind, *c: F.xxhash64(F.lit(kind), "b", *c)
+    group = linked_groups(pairs.select(side("l", "n", "lp").alias("u"), side("r", "c").alias("v")))
+    rows = pairs.withColumn("node", side("l", "n", "lp")).join(group, "node").withColumn("turn", side("l", "n", "lp")).withColumn("what", side("r", "c"))
+    rows = rows.repartition("group").sortWithinPartitions("group", "lp", "n", F.desc("r"), "rp", "c").select("group", "turn", "what", "b", "n", "c")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, turn, served, taken = None, None, False, set()
+        for batch in batches:
+            chosen = []
+            for i, (g, t, w) in enumerate(zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)):
+                if g != group:
+                    group, turn, taken = g, None, set()
+                if t != turn:
+                    turn, served = t, False
+                if not served and w not in taken:
+                    taken.add(w)
+                    served = True
+                    chosen.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(chosen, pa.int64())) for k in (3, 4, 5)], ["b", "n", "c"])
+
+    kind = lambda c: rows.schema[c].dataType.simpleString()
+    return rows.mapInArrow(walk, f"b {kind('b')}, n {kind('n')}, c {kind('c')}")
 
 
 def linked_groups(links: DataFrame) -> DataFrame:
-    """(node, group) of the nodes of (u, v) links: the least node that each can reach, passed on until nothing changes."""
-    both = stored(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    group = both.select(F.col("u").alias("node")).distinct().withColumn("group", F.col("node"))
+    """(node, group) of the nodes of (u, v) links: the least node that each can reach.
+
+    Each node's neighbours above it are linked to its least neighbour, then those below it, in turns until nothing
+    changes; a chain of any length takes a number of turns like its logarithm.
+    """
+    star = lambda e: e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    nodes = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
+    edges, mark = stored(star(links)), None
     while True:
-        near = both.join(group.select(F.col("node").alias("v"), "group"), "v").groupBy("u").agg(F.min("group").alias("g"))
-        after = stored(group.join(near, F.col("node") == F.col("u")).select("node", F.least("group", "g").alias("group"), (F.col("g") < F.col("group")).alias("moved")))
-        group = after.select("node", "group")
-        if not after.filter("moved").limit(1).count():
-            return group
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = stored(star(both.join(least, "u").filter("v > u").select("v", F.col("m").alias("x")).toDF("u", "v")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        edges = stored(star(small.select("v", "m").toDF("u", "v").unionByName(least.select("u", F.col("m").alias("v")))))
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == mark:
+            break
+        mark = now
+    return nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("group")), "node", "left").select("node", F.coalesce("group", "node").alias("group"))
 
 
 def accent_free_matches(words: DataFrame, word: str, known: DataFrame, other: str) -> DataFrame:
