@@ -134,15 +134,14 @@ def with_planted_period(text, doc_id):
     """Of every document whose id has a crc32 that ends in 0: its words, repeated with a period from some word on."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit(f"({WORD})"))
-    n = F.size(words).cast("long")
 
-    def repeated(w):
-        a = F.pmod(g, F.size(w).cast("long"))
-        p = 1 + F.floor((F.size(w) - a) / (3 + g % 8))
-        return F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int"))))
+    # bound as a lambda's variable, words, start and period are found once
+    def plan(w):
+        a = F.pmod(g, F.greatest(F.size(w), F.lit(1)).cast("long"))
+        return F.struct(w.alias("w"), a.alias("a"), (1 + F.floor((F.size(w) - a) / (3 + g % 8))).alias("p"))
 
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated(words), " ")).otherwise(text)
+    plans = F.transform(F.transform(F.array(F.regexp_extract_all(text, F.lit(f"({WORD})"))), plan), lambda s: F.transform(s["w"], lambda x, i: F.when(i < s["a"], x).otherwise(F.get(s["w"], (s["a"] + (i - s["a"]) % s["p"]).cast("int")))))
+    return F.when((h % 10 == 0) & text.isNotNull(), F.array_join(plans[0], " ")).otherwise(text)
 
 
 @query("op11_periodic_runs")
