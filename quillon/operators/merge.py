@@ -22,19 +22,37 @@ def newest(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old with new's rows: a matching row takes all of new's values, others are added. new has a row per key.
+    """old with new's rows: a matching row takes all of new's values, others are added; null keys are equal.
 
-    One shuffle by key: untouched old rows come from an anti-join, so no column is compared.
+    Of several new rows of one key one stays, by its content. One shuffle by key: untouched old rows come from an anti-join.
     """
-    return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionByName(new.select(*old.columns))
+    new = one_of_key(new.select(*old.columns), keys)
+    return _without(old, new, keys).unionByName(new)
+
+
+def one_of_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each key, the same one in every run."""
+    w = Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in rows.columns]))
+    return rows.withColumn("__r", F.row_number().over(w)).filter("`__r` = 1").drop("__r")
+
+
+def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key is not among the others', null keys being equal."""
+    there = others.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & rows[k].eqNullSafe(there[f"__k{i}"])
+    return rows.join(there, same, "left_anti")
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """old, and of new the rows of keys that old doesn't have; of rows of one key the first in order."""
+    """old, and of new the rows of keys that old doesn't have; of rows of one key the first in order (without one, by content)."""
     if order is not None:
         w = Window.partitionBy(*keys).orderBy(order)
         new = new.withColumn("__r", F.row_number().over(w)).filter("`__r` = 1").drop("__r")
-    return old.unionByName(new.join(old.select(*keys), keys, "left_anti").select(*old.columns))
+    else:
+        new = one_of_key(new.select(*old.columns), keys)
+    return old.unionByName(_without(new, old, keys).select(*old.columns))
 
 
 def update_changed(rows: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:

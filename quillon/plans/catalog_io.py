@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillon.operators import merge
 from quillon.plans.catalog import query
 from quillon.session import scratch, table
-from quillon.sources import readers, sinks
+from quillon.sources import readers, sinks, tables
 from quillon.streaming import ingest
 
 
@@ -91,6 +91,62 @@ def keyed_loads(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+_BUCKETED = """
+    WITH valid AS (SELECT c_custkey AS id, c_nationkey AS nation, c_acctbal AS balance FROM customer WHERE c_acctbal >= 0)
+    SELECT id, nation, CASE WHEN id % 3 = 0 THEN balance + 1 ELSE balance END AS balance FROM valid
+    """
+
+
+@query("bucketed_loads", _BUCKETED)
+def bucketed_loads(spark, sf_dir):
+    return _bucketed(spark, sf_dir)[0].read()
+
+
+@query(
+    "load_counters",
+    """
+    SELECT * FROM (SELECT 1 AS load, COUNT(*) AS n_read, COUNT(*) FILTER (WHERE c_acctbal < 0) AS rejected, COUNT(*) FILTER (WHERE c_acctbal >= 0) AS inserted, 0 AS updated FROM customer
+    UNION ALL SELECT 2, COUNT(*), 0, 0, COUNT(*) FROM customer WHERE c_acctbal >= 0 AND c_custkey % 3 = 0
+    UNION ALL SELECT 3, COUNT(*), 0, 0, 0 FROM customer WHERE c_acctbal >= 0 AND c_custkey % 3 = 0)
+    """,
+)
+def load_counters(spark, sf_dir):
+    told = [(i + 1, t["read"], t["rejected"], t["inserted"], t["updated"]) for i, t in enumerate(_bucketed(spark, sf_dir)[1])]
+    return spark.createDataFrame(told, "load int, n_read long, rejected long, inserted long, updated int").withColumn("load", F.col("load").cast("int"))
+
+
+@query("rejected_rows", "SELECT c_custkey AS id, CASE WHEN c_nationkey < 5 THEN 'balance,nation' ELSE 'balance' END AS why FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, 'nation' FROM customer WHERE c_acctbal >= 0 AND c_nationkey < 5")
+def rejected_rows(spark, sf_dir):
+    stored = tables.Table(spark, f"{scratch(spark, 'rejects')}/t", ["id"])
+    stored.load(_customers(spark, sf_dir), checks={"balance": F.col("balance") >= 0, "nation": F.col("nation") >= 5})
+    return stored.rejected().select("id", F.array_join("why", ",").alias("why"))
+
+
+def _customers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"))
+
+
+def _bucketed(spark, sf_dir):
+    """A stored table after three loads, and what each told."""
+    stored = tables.Table(spark, f"{scratch(spark, 'buckets')}/t", ["id"], buckets=8)
+    rows = _customers(spark, sf_dir)
+    more = rows.filter("balance >= 0 AND id % 3 = 0").withColumn("balance", F.col("balance") + 1)
+    told = [stored.load(rows, checks={"balance": F.col("balance") >= 0})] + [stored.load(more) for _ in range(2)]
+    return stored, told
+
+
+@query("flushed_stream", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1")
+def flushed_stream(spark, sf_dir):
+    root = scratch(spark, "flushes")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stored = tables.Table(spark, f"{root}/t", ["user_id"], buckets=4)
+    ingest.load_table(rows, stored, f"{root}/checkpoint", flush_at=max(8, events.count() // 2), order="event_id")
+    return stored.read().select("user_id", "event_id")
+
+
 @query("json_cache_file", "SELECT n_name AS url, n_nationkey AS score FROM nation UNION ALL SELECT r_name, 100 + r_regionkey FROM region")
 def json_cache_file(spark, sf_dir):
     path = f"{scratch(spark, 'cache')}/c"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from quillon.sources import tables
 from pyspark.sql.utils import AnalysisException
 
 REFERENCE = "name string, ine_prefix string"
@@ -65,8 +67,9 @@ def binary_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> Data
 
 
 def dataset(spark: SparkSession, root: str, config: str) -> DataFrame:
-    """A published dataset's table."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{config}")
+    """A published dataset's table, as its newest manifest has it; plain files where it was never published."""
+    path = f"{root.rstrip('/')}/{config}"
+    return tables.Table(spark, path).read() if tables.versions(spark, path) else spark.read.parquet(path)
 
 
 def fetched(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:

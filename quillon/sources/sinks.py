@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.text import slug
 from quillon.operators import merge
+from quillon.sources import tables
 
 
 def _fs(spark: SparkSession, path: str):
@@ -25,9 +27,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(rows: DataFrame, root: str, config: str) -> str:
-    """Replace a dataset's table: the new files are complete before the old ones go, and a failed job leaves the old ones."""
-    path = f"{root.rstrip('/')}/{config}"
-    replace(rows, path)
+    """Replace a dataset's table. Its new files are complete before a new manifest names them, by one rename: readers (readers.dataset) see the old rows or the new ones."""
+    spark, path, load = rows.sparkSession, f"{root.rstrip('/')}/{config}", uuid.uuid4().hex
+    rows.write.parquet(f"{path}/data/{load}/bucket=0")
+    found = tables.versions(spark, path)
+    tables.commit(spark, path, (found[-1] if found else 0) + 1, {"keys": [], "buckets": 1, "folders": {"0": f"data/{load}/bucket=0"}, "schema": json.loads(rows.schema.json()), "load": load})
+    tables.Table(spark, path)._vacuum()
     return path
 
 
@@ -83,11 +88,10 @@ def upload(files: DataFrame, root: str, kind: str = "type", name: str = "filenam
     """
     spark = files.sparkSession
     base, fresh = root.rstrip("/"), uuid.uuid4().hex
-    staged = f"{base}/.raw-{fresh}"
+    staged, index = f"{base}/.raw-{fresh}", f"{base}/.index-{fresh}"
     columns = [c for c in files.columns if c != content]
-    path = F.concat_ws("/", F.col(kind), F.col(name))
-    if files.groupBy(path).count().filter("count > 1").limit(1).count():
-        raise ValueError("two files of one type have the same name")
+    rows = files.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.concat_ws("/", F.col(kind), F.col(name)).alias("path"), F.col(content).cast("binary").alias("content"))
+    put = rows.columns[:-1]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,14 +102,21 @@ def upload(files: DataFrame, root: str, kind: str = "type", name: str = "filenam
                 with system.open_output_stream(own) as out:
                     out.write(data.as_py() or b"")
                 system.move(own, at)
-            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
-
-    files.select(path.alias("path"), F.col(content).cast("binary").alias("content")).mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
-    target, fs = _fs(spark, f"{base}/raw/{fresh}")
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in put], put)
+
+    # the rows are made once: what the tasks wrote is the index
+    rows.mapInArrow(write, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])).write.parquet(index)
+    told = spark.read.parquet(index)
+    fs = _fs(spark, base)[1]
+    if told.groupBy("path").count().filter("count > 1").limit(1).count():
+        for p in (staged, index):
+            fs.delete(_fs(spark, p)[0], True)
+        raise ValueError("two files of one type have the same name")
     fs.mkdirs(_fs(spark, f"{base}/raw")[0])
-    if fs.exists(_fs(spark, staged)[0]):
-        fs.rename(_fs(spark, staged)[0], target)
-    return files.select(*columns).withColumn("raw_file_url", F.concat_ws("/", F.lit(f"{base}/raw/{fresh}"), F.col(kind), F.col(name)))
+    target = _fs(spark, f"{base}/raw/{fresh}")[0]
+    if fs.exists(_fs(spark, staged)[0]) and not fs.rename(_fs(spark, staged)[0], target):
+        raise OSError(f"{staged} can't become {base}/raw/{fresh}")
+    return told.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.concat(F.lit(f"{base}/raw/{fresh}/"), F.col("path")).alias("raw_file_url"))
 
 
 def by_place(files: DataFrame, root: str, place: str) -> None:
