@@ -166,7 +166,7 @@ class Table:
         for k in self.keys:
             same = same & F.col("o")[k].eqNullSafe(F.col("n")[k])
         both = o.join(n, same, "full")
-        other = F.to_json(F.struct("o")) != F.to_json(F.struct("n"))
+        other = F.to_json("o") != F.to_json("n")
         changes = F.col("o").isNotNull() & F.col("n").isNotNull() & other & F.lit(update)
         if order in schema.names:  # what comes late replaces nothing newer
             changes = changes & F.coalesce(F.col("n")[order] >= F.col("o")[order], F.lit(True))
