@@ -9,9 +9,9 @@ from quillon.functions import text as T
 from quillon.functions import url as U
 from quillon.operators import dedup, documents, lookup, match, merge, pages, rollup, stateful, validate
 from quillon.plans import flows
-from quillon.session import table
+from quillon.session import scratch, table
 from quillon.sources import readers
-from quillon.streaming import ingest
+from quillon.streaming import ingest, limits
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -742,6 +742,31 @@ def rate_limit(spark, sf_dir):
     return stateful.rate_limit(_calls(spark, sf_dir), "user_id", "t", "event_id")
 
 
+def _streamed(spark, sf_dir, limit, name):
+    """The calls of the events table as a stream of two runs, each limited; a call far ahead lets all that waits go."""
+    for k, v in limits.STORE.items():
+        spark.conf.set(k, v)
+    root = scratch(spark, name)
+    calls = _calls(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("long")).withColumn("event_id", F.col("event_id").cast("long"))
+    middle = calls.agg(F.percentile_approx("t", 0.5)).first()[0]
+    end = calls.agg((F.max("t") + 1e7).alias("t")).select(F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), "t")
+    told = limit(spark.readStream.schema(calls.schema).parquet(f"{root}/in"), "user_id", "t", "event_id")
+    for part in (calls.filter(F.col("t") < middle), calls.filter(F.col("t") >= middle), end):
+        part.write.mode("append").parquet(f"{root}/in")
+        told.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").filter("user_id >= 0")
+
+
+@query("quota_stream", ORACLES["quota_guard"])
+def quota_stream(spark, sf_dir):
+    return _streamed(spark, sf_dir, limits.quota, "quota").select(F.col("user_id"), F.col("event_id"), "accepted")
+
+
+@query("rate_stream", ORACLES["rate_limit"])
+def rate_stream(spark, sf_dir):
+    return _streamed(spark, sf_dir, limits.rate_limit, "rate").select("user_id", "event_id", "starts_at")
+
+
 @query(
     "constraint_violations",
     """
