@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quillon.operators import merge
 from quillon.plans.catalog import query
 from quillon.session import scratch, table
-from quillon.sources import readers, sinks, tables
+from quillon.sources import readers, sinks, tables, workbooks
 from quillon.streaming import ingest
 
 
@@ -22,6 +23,20 @@ def sheet_scan(spark, sf_dir):
     return readers.sheet(spark, path, "code string, name string", header_rows=2)
 
 
+@query("workbook_scan", "SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_name AS name, p_size AS size FROM part")
+def workbook_scan(spark, sf_dir):
+    root = scratch(spark, "books")
+    part = table(spark, sf_dir, "part").select(F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("code"), "p_name", "p_size", F.floor(F.col("p_partkey") / 400).cast("string").alias("file"))
+
+    def book(rows: pd.DataFrame) -> pd.DataFrame:
+        cells = [["A title"], ["Size ", "Code", None, "Name"], *[[int(s), c, None, n] for c, n, s in zip(rows["code"], rows["p_name"], rows["p_size"], strict=True)]]
+        return pd.DataFrame({"type": ["sheets"], "filename": [f"{rows['file'].iloc[0]}.xlsx"], "content": [workbooks.workbook(cells, "Codes & names")]})
+
+    sinks.upload(part.groupBy("file").applyInPandas(book, "type string, filename string, content binary"), root)  # a file holds 400 rows
+    found = workbooks.read(spark, f"{root}/raw", "Code string, Name string, Size int", "Codes & names", skip=1)
+    return found.toDF("code", "name", "size")
+
+
 @query("reference_scan", "SELECT n_name AS name, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS ine_prefix FROM nation")
 def reference_scan(spark, sf_dir):
     path = scratch(spark, "reference")
