@@ -38,7 +38,7 @@ from quillon.llm.common import SLICE_BYTES, SpanHash, byte_batches, dropped, mix
 
 GRAM = 8
 SPLIT = 12
-GROUP = 1024
+GROUP = 1 << 13
 KEY, DOC = ["head", "tail"], ["u0", "u1"]
 
 
