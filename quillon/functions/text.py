@@ -1,34 +1,63 @@
 """Text functions as column expressions: accents, slugs, trimming, keyword counts."""
 
 import unicodedata
+from collections.abc import Callable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-# Letters that NFKD splits into a base letter and marks, as Portuguese and its neighbours use them, with the ordinals.
-_MARKED = "".join(chr(c) for c in (*range(0xC0, 0x180), 0xAA, 0xBA, *range(0x1CD, 0x1DD), *range(0x218, 0x21C)) if len(unicodedata.normalize("NFKD", chr(c))[:1].encode()) == 1 and unicodedata.normalize("NFKD", chr(c)) != chr(c) and len([x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x)]) == 1)
-_BARE = "".join(unicodedata.normalize("NFKD", c)[0] for c in _MARKED)
+
+class _Letters:
+    """A rule for single characters as column expressions: those that become one character or none by one
+    translation, those that become several by a lookup that only texts with such a character pay for.
+
+    Hangul syllables stay whole: NFKD would take each apart, in either text that is compared alike.
+    """
+
+    def __init__(self, rule: Callable[[str], str]):
+        made = {c: rule(c) for c in map(chr, (*range(0x80 if rule("A") == "A" else 0x41, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000)))}
+        changed = {c: t for c, t in made.items() if t != c}
+        one = {c: t for c, t in changed.items() if len(t) == 1}
+        self.old = "".join([*one, *[c for c, t in changed.items() if not t]])
+        self.new = "".join(one.values())
+        self.several = {c: t for c, t in changed.items() if len(t) > 1}
+        self.pattern = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in self.several) + "]"
+
+    def of(self, text: Column) -> Column:
+        several = F.create_map(*[F.lit(x) for pair in self.several.items() for x in pair])
+        spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(several, c), c)), "")
+        return F.translate(F.when(text.rlike(self.pattern), spelled).otherwise(text), self.old, self.new)
+
+
+def _bare(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
+@cache
+def _letters(folded: bool) -> _Letters:
+    return _Letters((lambda c: _bare(c).casefold()) if folded else _bare)
 
 
 def strip_accents(text: Column) -> Column:
-    """Letters without their marks, by one translation table over Latin letters; combining marks go."""
-    return F.regexp_replace(F.translate(text, _MARKED, _BARE), r"\p{M}+", "")
+    """NFKD without combining marks, in any script (Hangul syllables stay whole)."""
+    return _letters(False).of(text)
 
 
 def strip_accents_nfkd(text: Column) -> Column:
-    """NFKD without combining marks for any script, in Arrow batches; where Latin letters are not enough."""
+    """The same with Hangul syllables taken apart, in Arrow batches."""
 
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+        return texts.map(lambda t: None if t is None else _bare(t))
 
     return pandas_udf(run, "string")(text)
 
 
 def fold(text: Column) -> Column:
-    """Accent- and case-insensitive form."""
-    return F.replace(F.lower(strip_accents(text)), F.lit("ß"), F.lit("ss"))
+    """Accent- and case-insensitive form: strip_accents() in full case folding, so ligatures, sharp s and final sigma count as what they stand for."""
+    return _letters(True).of(text)
 
 
 def strip(text: Column) -> Column:
