@@ -24,12 +24,22 @@ class _Letters:
         self.old = "".join([*one, *[c for c, t in changed.items() if not t]])
         self.new = "".join(one.values())
         self.several = {c: t for c, t in changed.items() if len(t) > 1}
-        self.pattern = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in self.several) + "]"
+        points = sorted(map(ord, self.several))
+        known = set(points)
+        edges = [(p, p - 1 not in known, p + 1 not in known) for p in points]
+        firsts, lasts = [p for p, a, _ in edges if a], [p for p, _, b in edges if b]
+        self.pattern = "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(firsts, lasts, strict=True)) + "]"
+
+        self.lowers = rule("A") == "a"
 
     def of(self, text: Column) -> Column:
+        plain = lambda t: F.octet_length(t) == F.length(t)  # noqa: E731  ASCII only
         several = F.create_map(*[F.lit(x) for pair in self.several.items() for x in pair])
-        spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(several, c), c)), "")
-        return F.translate(F.when(text.rlike(self.pattern), spelled).otherwise(text), self.old, self.new)
+        spelled = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(several, c), c)), "")
+        single = F.translate(text, self.old, self.new)
+        # bound as a lambda's variable, the translation is made once
+        rest = F.transform(F.array(single), lambda t: F.when(plain(t) | ~t.rlike(self.pattern), t).otherwise(spelled(t)))
+        return F.when(plain(text), F.lower(text) if self.lowers else text).otherwise(rest[0])
 
 
 def _bare(c: str) -> str:

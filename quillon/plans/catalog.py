@@ -89,8 +89,8 @@ def rollup_choice_votes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parish = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     city = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    # votes of an order by choice, then of a parish by choice, before the next join
-    ballot = votes.groupBy("o_orderkey", "p_partkey").agg(F.sum("votes").alias("votes")).join(choice, "p_partkey").groupBy("o_orderkey", "choice").agg(F.sum("votes").alias("votes"))
+    # an order has hardly a part twice: the choice is told first (by a broadcast where parts are few), then votes are summed by order and choice, once
+    ballot = votes.join(choice, "p_partkey").groupBy("o_orderkey", "choice").agg(F.sum("votes").alias("votes"))
     leaf = ballot.join(orders, "o_orderkey").groupBy("o_custkey", "choice").agg(F.sum("votes").alias("votes")).join(parish, "o_custkey")
     return leaf.groupBy("n_nationkey", "choice").agg(F.sum("votes").alias("votes")).join(city, "n_nationkey").select("city", "choice", "votes")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from quillon.migrations import Migrations, Revision
 from quillon.operators import merge
 from quillon.plans.catalog import query
 from quillon.session import scratch, table
@@ -162,6 +163,21 @@ def flushed_stream(spark, sf_dir):
     return stored.read().select("user_id", "event_id")
 
 
+@query("migrated_table", "SELECT c_custkey AS customer, c_acctbal AS balance, CASE WHEN c_acctbal < 0 THEN 'owes' ELSE 'has' END AS standing FROM customer")
+def migrated_table(spark, sf_dir):
+    """A table with rows under two revisions, of which one was undone and applied again."""
+    first = Revision("accounts", (), lambda s: s.create("account", "id int, nation int, balance double", ["id"], 4), lambda s: s.drop("account"))
+    second = Revision("standing", ("accounts",), lambda s: s.add_column("account", "standing", "string", "CASE WHEN balance < 0 THEN 'owes' ELSE 'has' END"), lambda s: s.drop_column("account", "standing"))
+    third = Revision("names", ("standing",), lambda s: (s.rename_column("account", "id", "customer"), s.drop_column("account", "nation")), lambda s: (s.rename_column("account", "customer", "id"), s.add_column("account", "nation", "int")))
+    moves = Migrations(spark, scratch(spark, "migrated"), [third, second, first])
+    moves.upgrade("accounts")
+    moves.store.table("account").load(_customers(spark, sf_dir).select(F.col("id").cast("int").alias("id"), F.col("nation").cast("int").alias("nation"), F.col("balance").cast("double").alias("balance")))
+    moves.upgrade()
+    moves.downgrade("standing")
+    moves.upgrade()
+    return moves.store.table("account").read().select("customer", "balance", "standing")
+
+
 @query("json_cache_file", "SELECT n_name AS url, n_nationkey AS score FROM nation UNION ALL SELECT r_name, 100 + r_regionkey FROM region")
 def json_cache_file(spark, sf_dir):
     path = f"{scratch(spark, 'cache')}/c"

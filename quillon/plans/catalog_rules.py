@@ -270,10 +270,24 @@ def required_rows(spark, sf_dir):
 )
 def pending_batches(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("city_id"), F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("dre_url"), F.when(F.col("c_custkey") % 3 == 0, "x").alias("pdf_url"))
-    sizes = flows.pending_pdfs({"urbanization": c.filter("city_id % 2 = 0"), "fees": c.filter("city_id % 2 = 1")}).groupBy("table", "part", "batch").agg(F.count(F.lit(1)).alias("k"))
+    sizes = flows.pending_pdfs({"urbanization": c.filter("city_id % 2 = 0"), "fees": c.filter("city_id % 2 = 1")}).groupBy("table", "batch").agg(F.count(F.lit(1)).alias("k"))
     return sizes.agg(F.sum("k").alias("n"), (F.max("k") <= 8).alias("at_most_8"))
 
 
+@query(
+    "full_batches",
+    """
+    WITH p AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'urbanization' ELSE 'fees' END AS "table", c_custkey % 11 AS city_id, 'u' || c_custkey AS dre_url FROM customer WHERE c_custkey % 3 <> 0)
+    SELECT "table", city_id, dre_url, (row_number() OVER (PARTITION BY "table" ORDER BY city_id, dre_url) - 1) // 8 AS batch FROM p
+    """,
+)
+def full_batches(spark, sf_dir):
+    key = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select((key % 11).alias("city_id"), F.concat(F.lit("u"), key.cast("string")).alias("dre_url"), F.when(key % 3 == 0, "x").alias("pdf_url"), key)
+    rows = flows.pending_pdfs({"urbanization": c.filter("c_custkey % 2 = 0"), "fees": c.filter("c_custkey % 2 = 1")})
+    return rows.select("table", "city_id", "dre_url", "batch")
+
+
 @query(
     "territory_legs",
     """

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon import schemas
@@ -219,11 +219,9 @@ def stored_regulations(old: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def pending_pdfs(tables: dict[str, DataFrame], size: int = 8) -> DataFrame:
-    """Rows of all tables without a PDF, numbered into batches of `size` for the resolver inside each table."""
+    """Rows of all tables without a PDF, in batches of `size` for the resolver inside each table; all are full but the last."""
     rows = dedup.tagged_union({k: v.filter("pdf_url is null").select("city_id", "dre_url") for k, v in tables.items()}, "table")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("dre_url"), F.lit(64)).cast("int"))
-    w = Window.partitionBy("table", "part").orderBy("city_id", "dre_url")
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    return dedup.batches(rows, ["city_id", "dre_url"], size, ["table"])
 
 
 def pdf_link(page: DataFrame) -> DataFrame:

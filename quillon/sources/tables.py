@@ -109,8 +109,8 @@ class Table:
     def _rows(self, folders: list[str], schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in self.keys]), F.lit(self._told["buckets"])).cast("int")
+    def _bucket(self, keys: list[str] | None = None) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in keys or self.keys]), F.lit(self._told["buckets"])).cast("int")
 
     def load(self, new: DataFrame, order: str | None = None, update: bool = True, checks: dict[str, Column] | None = None) -> dict[str, int]:
         """Upsert `new` (or insert where absent); what was done: read, rejected, inserted, updated, and rejected rows by check.
@@ -197,15 +197,15 @@ class Table:
                 p, fs = _fs(self.spark, f"{self.path}/data/{load}")
                 fs.delete(p, True)
 
-    def rewritten(self, change: Callable[[DataFrame], DataFrame], note: str = "") -> None:
-        """Put change(rows) in the place of all rows, in one step; schema and keys are those of the result."""
-        load, rows = uuid.uuid4().hex, change(self.read())
-        missing = [k for k in self.keys if k not in rows.columns]
+    def rewritten(self, change: Callable[[DataFrame], DataFrame], note: str = "", keys: list[str] | None = None) -> None:
+        """Put change(rows) in the place of all rows, in one step; the schema is that of the result, the keys are the old ones or `keys`."""
+        load, rows, keys = uuid.uuid4().hex, change(self.read()), keys or self.keys
+        missing = [k for k in keys if k not in rows.columns]
         if missing:
             raise ValueError(f"a key goes: {missing}")
-        rows.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{load}")
+        rows.withColumn("__b", self._bucket(keys)).repartition("__b").withColumnRenamed("__b", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{load}")
         held = sorted(int(n.split("=")[1]) for n in _names(self.spark, f"{self.path}/data/{load}") if n.startswith("bucket="))
-        told = self._told | {"schema": json.loads(rows.schema.json()), "folders": {str(b): f"data/{load}/bucket={b}" for b in held}, "load": load, "note": note}
+        told = self._told | {"schema": json.loads(rows.schema.json()), "keys": keys, "folders": {str(b): f"data/{load}/bucket={b}" for b in held}, "load": load, "note": note}
         commit(self.spark, self.path, self.version + 1, told)
         self.version, self._told = self.version + 1, told
         self._vacuum()
