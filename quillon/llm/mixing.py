@@ -68,11 +68,16 @@ def planned(
     floor(target / source_size) times, those before the remaining share of the source's hash order
     once more: a source's sum misses its target by at most half a document. Null and empty texts
     have size 0 and are never taken; equal rows are taken each on their own; a source without words has target 0.
-    Columns that docs has under the new names are replaced.
+    Columns that docs has under the new names are replaced; all others come out as they went in, whatever they are called.
     """
     new = ["size", "source_size", "target", "copies", "taken", "positions"]
-    rows = docs.drop(*new).withColumn("size", n_words(F.col(text_col)) if size is None else size.cast("long"))
-    rows = rows.withColumn("__g", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-")))
+    kept = [c for c in docs.columns if c not in new]
+    text = F.col(f"`{text_col}`")
+    # docs' columns go by under names of their own, so none meets those used here
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], (n_words(text) if size is None else size.cast("long")).alias("size"), F.col(f"`{id_col}`").cast("string").alias("__i"),
+        F.xxhash64(text).alias("__x"), F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("-")).alias("__g"),
+    )
     sums = rows.groupBy("__g").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()  # a row per source
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -82,7 +87,7 @@ def planned(
     targets = filled([n for _, n in sums], [a[-1] for a in areas], share * sum(n for _, n in sums), most)
     plan = [(g, n, x, [t for t, _ in s], [w for _, w in s], a) for (g, n), x, s, a in zip(sums, targets, schedules, areas, strict=True)]
     plan = docs.sparkSession.createDataFrame(plan, "`__g` string, source_size long, target double, `__t` array<double>, `__w` array<double>, `__c` array<double>")
-    order = [F.col(id_col).cast("string"), F.xxhash64(text_col), F.col("size")]
+    order = [F.col("__i"), F.col("__x"), F.col("size")]
     rows = running(rows, ["__g"], order, "size", "__before").join(F.broadcast(plan), "__g")  # at most MAX_SOURCES rows
 
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -92,7 +97,7 @@ def planned(
     rows = rows.withColumn("copies", copies.cast("long")).withColumn("__m", middle).withColumn("taken", F.col("copies") * F.col("size"))
     passes = F.when(F.col("copies") > 0, F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("positions", F.transform(passes, lambda j: moment((j * F.col("source_size") + F.col("__m")) / F.col("target"))))
-    return rows.select(*[c for c in docs.columns if c not in new], *new)
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *new)
 
 
 def moment(part: Column) -> Column:

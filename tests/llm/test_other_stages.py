@@ -241,7 +241,7 @@ def test_codes(spark):
 
 def test_registered_queries():
     numbers = sorted(int(m[1]) for k in queries.QUERIES if (m := re.match(r"op(\d+)_", k)))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "suffix_dedup", "mixing", "packing"]
 
 
