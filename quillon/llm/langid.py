@@ -31,10 +31,11 @@ PIECE = 1 << 18
 @dataclass(frozen=True)
 class Settings:
     """rows: hash rows. per_lang: training texts of a language, about, at most, fewer where
-    all languages would have more than max_texts together; max_langs: more labels are an error.
+    all languages would have more than max_texts together; max_langs: more labels are an error. epochs: passes over the sample, more where those make fewer than least_steps steps.
 
     reject_rate: share of correctly told calibration texts that either rejection threshold (of the score, of
-    usualness) may cost; floor: frequency of subwords that a language's sample lacks.
+    usualness) may cost; floor: frequency of subwords that a language's sample lacks; spread: standard deviations below
+    the mean usualness of known texts that are surely kept.
     """
 
     rows: int = 1 << 14
@@ -44,11 +45,13 @@ class Settings:
     max_texts: int = 38_400
     max_langs: int = 1024
     epochs: int = 6
+    least_steps: int = 600
     batch: int = 16
     rate: float = 0.5
     calibration: float = 0.2
     reject_rate: float = 0.001
     floor: float = 1e-6
+    spread: float = 4.0
     seed: int = 7
 
 
@@ -187,8 +190,10 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
     fit = [i for i in range(len(rows)) if i % round(1 / settings.calibration)] or held
     y = np.array([index[r[0]] for r in rows], int)
     weight = [(r[3] / r[3].sum()).astype(np.float32) for r in rows]
-    steps, total = 0, settings.epochs * max(1, len(fit))
-    for _ in range(settings.epochs):
+    # small samples go by more often
+    epochs = max(settings.epochs, -(-settings.least_steps * settings.batch // max(1, len(fit))))
+    steps, total = 0, epochs * max(1, len(fit))
+    for _ in range(epochs):
         order = rng.permutation(fit)
         for lo in range(0, len(order), settings.batch):
             part = order[lo : lo + settings.batch]
@@ -211,7 +216,8 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
     told = p.argmax(axis=1)
     right = told == y[check]
     scores = np.sort(p.max(axis=1)[right])
-    threshold = float(scores[int(len(scores) * settings.reject_rate)]) * 0.9 if len(scores) else 0.0
+    rare = int(len(scores) * settings.reject_rate)  # too few texts show no such rare score: then none is rejected by its score
+    threshold = float(scores[rare]) * 0.9 if rare else 0.0
 
     usual = np.zeros((len(langs), settings.rows))
     for i in fit:
@@ -223,10 +229,11 @@ def trained(rows: list[tuple[str, int, np.ndarray, np.ndarray]], settings: Setti
         if len(ids):
             share = counts / counts.sum()
             strange.append(float(share @ usual[(share @ emb[ids] @ out + bias).argmax(), ids]))
-    # half-way between the rarest of known texts and common strangers; no higher than the texts that it may cost
+    # half-way between the rarest of known texts and common strangers; no higher than the texts that it may cost. Few
+    # texts show no rare one, so the rarest lie `spread` deviations below the mean at least
     least = -np.inf
     if len(known):
-        low = float(known[int(len(known) * settings.reject_rate)])
+        low = min(float(known[int(len(known) * settings.reject_rate)]), float(np.mean(known) - settings.spread * np.std(known)))
         least = min(low, (low + float(np.median(strange))) / 2) if strange else low
     return Model(langs, emb, out, bias, best[1], threshold, settings, usual, least)
 

@@ -66,3 +66,9 @@ def test_shuffled_words_keep_their_letters():
     text = "Ein  Wort\nund noch eines, überall"
     assert [sorted(w) for w in langid.shuffled(text, 3).split()] == [sorted(w) for w in text.split()]
     assert langid.shuffled(text, 3) == langid.shuffled(text, 3) != text
+
+
+def test_few_documents_lose_few(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    got = langid.predicted(docs, langid.fitted(docs.filter(~langid.held_out()))).collect()
+    assert len(got) >= 200 and sum(r.rejected for r in got) <= 0.02 * len(got)
