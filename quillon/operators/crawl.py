@@ -4,7 +4,7 @@ Pages are fetched ahead: a round joins the pages that the sites' queues ask for
 the links and walks every site again over what is there, as far as known pages allow and on past unknown ones,
 which then are asked for. Whatever comes before a page in a walk with unknown pages comes before it in the whole walk
 too, so a page that the walk visits is asked for in the round after the page that leads to it: depth + 2
-rounds do for any budget. A task holds the fetched links of one site at a time: its budget's pages for each round.
+rounds do for any budget (without a limit on depth, as many as the walk has levels). A task holds the fetched links of one site at a time: its budget's pages for each round.
 
 With `folder`, fetched rounds are kept there and a crawl that was cut off goes on from them.
 """

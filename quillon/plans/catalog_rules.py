@@ -371,16 +371,16 @@ def _plain_walk(stop: str) -> str:
     """
 
 
-@query("crawl_candidates", _plain_walk("len(visited) < 40") + "SELECT site, u.p AS source_url, u.d AS pdf_url FROM (SELECT site, unnest(found) AS u FROM last)")
+@query("crawl_candidates", _plain_walk("len(visited) < 20") + "SELECT site, u.p AS source_url, u.d AS pdf_url FROM (SELECT site, unnest(found) AS u FROM last)")
 def crawl_candidates(spark, sf_dir):
     roots, links, _ = _site_graph(spark, sf_dir)
-    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 40, first=False)[1].select("site", "source_url", "pdf_url")
+    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 20, first=False)[1].select("site", "source_url", "pdf_url")
 
 
-@query("crawl_idle", _plain_walk("len(visited) < 200 AND quiet < 3") + "SELECT site, CAST(len(visited) AS INTEGER) AS visited, CAST(len(found) AS INTEGER) AS attempted FROM last")
+@query("crawl_idle", _plain_walk("len(visited) < 20 AND quiet < 3") + "SELECT site, CAST(len(visited) AS INTEGER) AS visited, CAST(len(found) AS INTEGER) AS attempted FROM last")
 def crawl_idle(spark, sf_dir):
     roots, links, _ = _site_graph(spark, sf_dir)
-    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 200, first=False, idle=3)[0].select("site", "visited", "attempted")
+    return crawl.crawl(roots, links.withColumn("is_priority", F.lit(False)), None, None, 20, first=False, idle=3)[0].select("site", "visited", "attempted")
 
 
 @query("contact_codes", "SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 4, '0') END AS ine_code FROM customer")
