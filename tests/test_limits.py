@@ -39,3 +39,21 @@ def test_equal_to_the_batch_operator(spark, tmp_path, kind, most, period):
     rows = [r for r in spark.read.parquet(to).collect() if r.k != 99]
     assert {r.i: r[2] for r in rows} == want and len(rows) == len(want)
     assert rest[-1] < held[-1]  # idle keys' state went
+
+
+def test_a_long_line_takes_one_timer_a_batch(spark, tmp_path):
+    src, to, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    (tmp_path / "in").mkdir()
+    calls = [(1, 1000.0, i) for i in range(600)]  # 300 starts, 10 seconds apart
+    for k, v in limits.STORE.items():
+        spark.conf.set(k, v)
+    timers = []
+    for part in (calls, [(99, 1e6, 999)]):
+        batches_of(spark, src, [part])
+        out = limits.rate_limit(spark.readStream.schema("k int, t double, i int").parquet(src), "k", "t", "i", 2, 10.0)
+        q = out.writeStream.format("parquet").option("path", to).option("checkpointLocation", cp).trigger(availableNow=True).start()
+        q.awaitTermination()
+        timers += [o["customMetrics"]["numRegisteredTimers"] for p in q.recentProgress for o in p["stateOperators"]]
+    want = {r.i: r.starts_at for r in stateful.rate_limit(spark.createDataFrame(calls, "k int, t double, i int"), "k", "t", "i", 2, 10.0).collect()}
+    assert {r.i: r.starts_at for r in spark.read.parquet(to).collect() if r.k == 1} == want
+    assert max(timers) <= 2
