@@ -21,11 +21,16 @@ def newest(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
     return updates.withColumn("__r", F.row_number().over(w)).filter("`__r` = 1").drop("__r")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """old with new's rows: a matching row takes all of new's values, others are added; null keys are equal.
 
     Of several new rows of one key one stays, by its content. One shuffle by key: untouched old rows come from an anti-join.
+    With an order, the last row of a key stays, old or new (at the same place new); a null is the earliest.
     """
+    if order is not None:
+        both = old.withColumn("__new", F.lit(0)).unionByName(new.select(*old.columns).withColumn("__new", F.lit(1)))
+        w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order), F.desc("__new"))
+        return both.withColumn("__r", F.row_number().over(w)).filter("`__r` = 1").drop("__r", "__new")
     new = one_of_key(new.select(*old.columns), keys)
     return _without(old, new, keys).unionByName(new)
 

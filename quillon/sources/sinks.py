@@ -67,7 +67,7 @@ def _swapped(spark: SparkSession, new: str, path: str) -> None:
 def load(new: DataFrame, path: str, keys: list[str], order: str | None = None, update: bool = True, count: bool = True) -> int | None:
     """Upsert (or insert where absent) into a stored table; returns the rows that are new in it, if they are to be counted.
 
-    Loading the same rows again changes nothing.
+    With an order, what comes late replaces no stored row that is later in it. Loading the same rows again changes nothing.
     """
     spark = new.sparkSession
     if order is not None:
@@ -77,7 +77,7 @@ def load(new: DataFrame, path: str, keys: list[str], order: str | None = None, u
         return spark.read.parquet(path).count() if count else None
     old = spark.read.parquet(path)
     before = old.count() if count else 0
-    replace(merge.upsert(old, new, keys) if update else merge.insert_if_absent(old, new, keys, order), path)
+    replace(merge.upsert(old, new, keys, order if order in old.columns else None) if update else merge.insert_if_absent(old, new, keys, order), path)
     return spark.read.parquet(path).count() - before if count else None
 
 

@@ -169,7 +169,7 @@ class Table:
         other = F.to_json("o") != F.to_json("n")
         changes = F.col("o").isNotNull() & F.col("n").isNotNull() & other & F.lit(update)
         if order in schema.names:  # what comes late replaces nothing newer
-            changes = changes & F.coalesce(F.col("n")[order] >= F.col("o")[order], F.lit(True))
+            changes = changes & F.coalesce(F.col("n")[order] >= F.col("o")[order], F.col("o")[order].isNull())
         row = F.when(F.col("o").isNull() | changes, F.col("n")).otherwise(F.col("o"))
         return both.select(row.alias("r"), F.col("o").isNull().alias("__in"), changes.alias("__up")).select("r.*", "__in", "__up")
 

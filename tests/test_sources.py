@@ -61,6 +61,15 @@ def test_stream_loads_match_a_batch_load(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(7))
 
 
+def test_stream_load_keeps_the_last_in_order(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for rows in ([(1, 7), (2, 9)], [(1, None), (None, 4)], [(1, 9), (2, 5)], [(1, 3), (None, 2)]):  # a file each, the last one not the newest
+        spark.createDataFrame(rows, "k int, p int").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k int, p int").option("maxFilesPerTrigger", 1).parquet(src)
+    ingest.load_stream(stream, str(tmp_path / "t"), ["k"], str(tmp_path / "cp"), "p").awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).na.fill(0, ["k"]).collect()) == [(0, 4), (1, 9), (2, 9)]
+
+
 def test_stream_quota(spark, tmp_path):
     src = str(tmp_path / "in")
     rows = spark.createDataFrame([(i % 2, float(i), i) for i in range(60)], "k int, t double, i int")
