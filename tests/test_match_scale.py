@@ -37,6 +37,15 @@ def test_fewer_candidates_than_shared_bigrams(spark):
     assert few < all_ / 5
 
 
+def test_equality_alone_compares_no_pairs(spark):
+    known = spark.createDataFrame([(f"Name#{i:05}", i) for i in range(0, 60, 2)] + [("Évora", 61)], "c string, p int")
+    asked = spark.createDataFrame([(f"Name#{i:05}",) for i in range(60)] + [("EVORA",), (None,)], "n string")
+    found = match.resolve(asked, "n", known, "c", "p", threshold=1.0)
+    assert "name_ratio" not in (plan := found._jdf.queryExecution().toString()) and "ArrowEvalPython" not in plan
+    got = {r.n: r.matched for r in found.collect()}
+    assert got == {**{f"Name#{i:05}": None if i % 2 else f"Name#{i:05}" for i in range(60)}, "EVORA": "Évora", None: None}
+
+
 def serial(pairs):
     taken, out = set(), set()
     lefts = sorted({(lp, n, b) for b, n, lp, *_ in pairs})
