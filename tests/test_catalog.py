@@ -2,6 +2,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from quillon.plans import catalog, catalog_io, catalog_rules  # noqa: F401  the latter two register their queries
 
@@ -31,3 +32,8 @@ def test_query_equals_its_oracle(spark, name):
     order = [cols.index(c) for c in df.columns]
     want = [tuple(plain(r[i]) for i in order) for r in cur.fetchall()]
     assert sorted(tuple(map(plain, r)) for r in rows) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["awkward_links", "nested_rows"])
+def test_pages_made_from_keys_are_read_by_several_tasks(spark, name):
+    assert catalog.QUERIES[name](spark, DIR).select(F.spark_partition_id().alias("p")).distinct().count() > 1  # the table is one split
