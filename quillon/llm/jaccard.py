@@ -1,6 +1,7 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash candidates, exact check.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash and MinHash candidates, exact check.
 
-Bands of minima of hashed shingles name the candidates; what shares a band is one cluster. Each
+Pigeonhole blocks of SimHash fingerprints name all sets within four bits as candidates, bands of minima of hashed shingles
+those further apart; what either links is one cluster. Each
 distinct shingle set goes to its cluster once (to the cells of its tile, where the cluster is
 large), where sets are compared exactly; a task hands on a spanning forest of the close pairs.
 """
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from quillon.llm.common import byte_batches, dropped, labels_of, mixed, text_buffers, written
 from quillon.llm.components import components
-from quillon.llm.simhash import chosen, shingles_of, uid_of
+from quillon.llm.simhash import chosen, majority_of, shingles_of, uid_of
+from quillon.llm.simhash import close_links as near_fingerprints
 
 # 28 bands of 6 minima: a pair of similarity 0.8 shares a band with probability 0.9998, one of 0.5 with 0.36, one of 0.3 with 0.02.
 BANDS, ROWS = 28, 6
@@ -61,7 +63,7 @@ def bands_of(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """id, uid, sid (of its shingle set) and keys (of its bands; none without words) of each row."""
+    """id, uid, sid and fp (id and SimHash of its shingle set) and keys (of its bands; none without words) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,10 +72,19 @@ def sketched(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
                 ends = np.concatenate(([0], np.cumsum((sizes > 0) * BANDS))).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands_of(hashes, sizes).ravel().view(np.int64)))
                 sid = pa.array(set_ids(hashes, sizes).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), sid, keys], ["id", "uid", "sid", "keys"])
+                fp = pa.array(majority_of(hashes, sizes).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), sid, fp, keys], ["id", "uid", "sid", "fp", "keys"])
 
     source = docs.select(F.col(id_col).alias("id"), uid_of(id_col, text_col).alias("uid"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid struct<u0:long,u1:long>, sid long, keys array<long>")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, uid struct<u0:long,u1:long>, sid long, fp long, keys array<long>")
+
+
+def block_links(sets: DataFrame, scratch: list[str]) -> DataFrame:
+    """(sid, head) links that join all sets (sid, fp) whose fingerprints, by pigeonhole blocks, lie within four bits of each other."""
+    fps = written(sets.groupBy("fp").agg(F.min("sid").alias("head")), "fingerprints", scratch)
+    close = near_fingerprints(fps.select("fp"), scratch=scratch)
+    a, b = fps.select(F.col("fp").alias("a"), F.col("head").alias("sid")), fps.select(F.col("fp").alias("b"), "head")
+    return close.join(a, "a").join(b, "b").select("sid", "head").unionByName(sets.join(fps, "fp").filter("sid != head").select("sid", "head"))
 
 
 def forest(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +173,8 @@ def one_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, tile: int =
     keyed = written(rows.select("sid", F.explode("keys").alias("key")).distinct(), "keyed", scratch)
     # sides with a row per key are tables of their own: a join of two plain shuffles is one that Spark can split at hot keys
     heads = written(keyed.groupBy("key").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "heads", scratch)
-    stars = keyed.join(heads, "key").filter("sid != head").select("sid", "head").distinct()
+    sets = written(rows.filter(F.size("keys") > 0).select("sid", "fp").distinct(), "sets", scratch)
+    stars = keyed.join(heads, "key").filter("sid != head").select("sid", "head").unionByName(block_links(sets, scratch)).distinct()
     clusters = written(components(stars, "sid", "head").withColumnRenamed("node", "sid").withColumnRenamed("root", "cluster"), "clusters", scratch)
     sizes = written(clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")), "sizes", scratch)
     # a text for each set of a cluster

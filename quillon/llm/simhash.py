@@ -62,8 +62,12 @@ def shingles_of(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.n
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
     """The 64-bit SimHash of each text of a buffer over its word shingles."""
-    out = np.zeros(len(offsets) - 1, np.uint64)
-    hashes, shingles = shingles_of(data, offsets, words)
+    return majority_of(*shingles_of(data, offsets, words))
+
+
+def majority_of(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The bits set in over half the hashes of each text, whose numbers of hashes are `shingles`."""
+    out = np.zeros(len(shingles), np.uint64)
     if not len(hashes):
         return out
     some = np.flatnonzero(shingles)

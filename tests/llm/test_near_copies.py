@@ -45,3 +45,12 @@ def test_pipeline_drops_edited_copies(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = corpus_pipeline.near_duplicates(spark, df, "")
     assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == brute_keepers(texts)
+
+
+def test_a_pair_that_bands_lose_is_found_by_blocks(spark):
+    words = [f"w256269x{i}" for i in range(40)]
+    pair = [" ".join(words), " ".join(words[:36] + [f"v256269x{i}" for i in range(4)])]  # 32 of 40 shingles
+    df = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
+    found = jaccard.sketched(df, 5, "doc_id", "text").collect()
+    assert not set(found[0]["keys"]) & set(found[1]["keys"]) and ((found[0].fp ^ found[1].fp) % (1 << 64)).bit_count() <= 4
+    assert [r.doc_id for r in jaccard.one_of_each(df).collect()] == brute_keepers(pair) == [0]
